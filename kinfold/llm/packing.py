@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import bisect
 import functools
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,8 +34,8 @@ from kinfold.session import materialize
 CAPACITY = 2048
 #: Rows of a rank bucket, on average.
 BUCKET_ROWS = 100_000
-#: Distinct chunks kept by a worker's tokenizer cache before it starts anew.
-CACHE_WORDS = 400_000
+#: Distinct chunks, and parts of chunks, that a worker's tokenizer cache keeps.
+CACHE_WORDS = 500_000
 
 
 class ChunkEncoder:
@@ -43,7 +45,7 @@ class ChunkEncoder:
     space and drops it between its pre-tokens), so the ids of a text are those of its
     chunks in order. A chunk of plain Latin characters is split here by the tokenizer
     file's own pattern and its parts go straight to the tokenizer's model; any other
-    chunk goes through the whole tokenizer.
+    chunk (and any with a "<", which may hold a special token) goes through the whole tokenizer.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -65,34 +67,44 @@ class ChunkEncoder:
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [b for b in range(256) if b not in shown]
         self.names = {b: 256 + k for k, b in enumerate(hidden)}
-        self.special = tuple(self.tokenizer.get_added_tokens_decoder()[k].content for k in self.tokenizer.get_added_tokens_decoder())
         self.chunks = _Memo(self._chunk)
         self.pieces = _Memo(self._piece)
 
     def _piece(self, piece: str) -> bytes:
         name = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.names)
-        return np.array([t.id for t in self.model(name)], "<u4").tobytes()
+        return _words([t.id for t in self.model(name)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if not self.plain(chunk) or any(s in chunk for s in self.special):
-            return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.pieces.__getitem__, self.parts(chunk.lower())))
+        if "<" in chunk or not (chunk.isascii() and chunk.isprintable() or self.plain(chunk)):
+            return _words(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        low, pieces = chunk.lower(), self.pieces
+        if low.isalpha():
+            return pieces[low]
+        if low[:-1].isalpha() and not low[-1].isalnum():
+            return pieces[low[:-1]] + pieces[low[-1]]
+        return b"".join(map(pieces.__getitem__, self.parts(low)))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        for memo in (self.chunks, self.pieces):
-            if len(memo) > CACHE_WORDS:
-                memo.clear()
         return (b"".join(map(self.chunks.__getitem__, t.replace("\n", " ").split(" "))) for t in texts)
 
 
+def _words(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class _Memo(dict):
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
         self.make = make
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(self) < CACHE_WORDS:  # the frequent ones come early
+            self[key] = value
         return value
 
 
