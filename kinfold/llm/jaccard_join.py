@@ -10,10 +10,12 @@ shingle more and asks for one match more. The costly ones can then supply at mos
 of the k matches, so only the others need to be indexed; the full count of k is asked
 for before a pair's similarity is computed.
 
-Steps: (1) one pass hashes the texts, with a signature of each set and its plain prefix;
-equal sets are one node from here on. (2) Prefix counts over all documents give the
-costly shingles. (3) A second pass emits the indexed shingles. Shingles that only one
-node has drop out by a partial aggregate. (4) Per shingle, all nodes are compared with
+Steps: (1) one pass hashes the texts, with a signature of each set; equal sets are one node
+from here on. (2) Counts of the plain prefixes of all documents, by packed 32-bit halves,
+give the costly shingles (they only choose the order; any choice gives the same links).
+(3) A second pass emits the indexed shingles, packed by bucket; shingles that only one
+node has drop out where the buckets meet. Costly ones are dealt by node instead, as very
+many nodes may have them. (4) Per shingle, all nodes are compared with
 the smallest one: linear in the index, and enough to bind a large group of near copies
 together. (5) Every pair that still lies in two different components and shares an
 indexed shingle is verified. No link between components can be missed: pairs inside one
@@ -43,6 +45,10 @@ PERCENT = 80
 COSTLY = 24
 #: Most shingles that are treated as costly (the most frequent ones; any choice is exact).
 MOST_COSTLY = 200_000
+#: Shingles a task holds before it deals them out, packed by bucket.
+FLUSH = 1 << 20
+#: Most documents whose ids are broadcast to pick their texts for verification.
+BROADCAST_ROWS = 400_000
 #: Bytes of text hashed at once.
 SLICE = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 5
@@ -128,22 +134,37 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
-def adaptive_prefix(shingles: np.ndarray, costly: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int, int]:
-    """``(indexed shingles, length of the lengthened prefix, matches asked for)``.
+def _keys(shingles: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and lower half of each hash: what prefix counts are kept by."""
+    return ((shingles >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | (shingles & np.uint64(0xFFFFFFFF))
 
-    The prefix grows by one for each of the ``costly`` shingles (sorted) in it. Where a set
-    has too few others, it is the whole set, and the first costly ones are indexed too.
+
+class Costly:
+    """The costly shingles, by their keys."""
+
+    def __init__(self, keys: np.ndarray, buckets: int):
+        self.keys, self.buckets = np.sort(keys), buckets
+
+    def among(self, shingles: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(shingles), bool)
+        mine = _keys(shingles, self.buckets)
+        return self.keys[np.minimum(np.searchsorted(self.keys, mine), len(self.keys) - 1)] == mine
+
+
+def adaptive_prefix(shingles: np.ndarray, costly: Costly, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """``(cheap shingles to index, costly ones to index, length of the lengthened prefix, matches asked for)``.
+
+    The prefix grows by one for each costly shingle in it. Where a set has too few others,
+    it is the whole set, and the first costly ones are indexed too.
     """
     need = prefix_length(len(shingles), percent)
-    if not len(costly) or not need:
-        return shingles[:need], need, 1
-    at = np.minimum(np.searchsorted(costly, shingles), len(costly) - 1)
-    dear = costly[at] == shingles
+    dear = costly.among(shingles)
     cheap = np.flatnonzero(~dear)
     if len(cheap) >= need:
-        long = int(cheap[need - 1]) + 1
-        return shingles[cheap[:need]], long, long - need + 1
-    return np.concatenate([shingles[cheap], shingles[dear][: need - len(cheap)]]), len(shingles), len(shingles) - need + 1
+        long = int(cheap[need - 1]) + 1 if need else 0
+        return shingles[cheap[:need]], shingles[:0], long, long - need + 1
+    return shingles[cheap], shingles[dear][: need - len(cheap)], len(shingles), len(shingles) - need + 1
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -154,37 +175,143 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n, node, prefix)``: the size of each set, a hash of the whole set, its plain prefix."""
+def _node(sets: list[np.ndarray]) -> np.ndarray:
+    """A hash of each whole set."""
+    sums = [_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s)) for s in sets]
+    return _signed(_mix(np.array(sums, np.uint64)))
+
+
+def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """The columns' values by bucket, packed."""
+    if not len(bucket):
+        return
+    order = np.argsort(bucket, kind="stable")
+    names, starts = np.unique(bucket[order], return_index=True)
+    for name, rows in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
+        yield name, [c[rows].tobytes() for c in columns]
+
+
+def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+    """Rows ``(id, n, node)`` of each document, and packed rows ``(bucket, data)`` of plain prefixes."""
     kind = docs.schema[id_col].dataType.simpleString()
+    id_type = pa_type(docs, id_col)
+    names = ["id", "n", "node", "bucket", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            keys = _keys(np.concatenate(held), buckets)
+            dealt = list(_dealt((keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)))
+            held.clear()
+            n = len(dealt)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
+
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = shingle_sets(_texts(part.column(1)))
-                with np.errstate(over="ignore"):
-                    node = np.array([_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s)) for s in sets], np.uint64)
-                prefixes = [_signed(s[: prefix_length(len(s))]) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_signed(_mix(node))), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)])))],
-                    names=["id", "n", "node", "prefix"],
-                )
+                held += [s[: prefix_length(len(s))] for s in sets if len(s)]
+                n = part.num_rows
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=names)
+                if sum(map(len, held)) >= FLUSH:
+                    yield flush()
+        if held:
+            yield flush()
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, bucket long, data binary")
+
+
+def pa_type(df: DataFrame, column: str) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(df.schema[column].dataType)
+
+
+def _costly(packed: DataFrame, buckets: int) -> Costly:
+    """The shingles that the most plain prefixes have, counted over all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(name, []).append(data)
+        for name, data in held.items():
+            low, n = np.unique(np.frombuffer(b"".join(data), np.uint32), return_counts=True)
+            many = n >= COSTLY
+            key = (np.int64(name) << np.int64(32)) | low[many].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n[many].astype(np.int64))], names=["key", "n"])
+
+    counts = packed.select("bucket", "data").where("bucket is not null").repartition(buckets, "bucket").mapInArrow(count, "key long, n long")
+    top = counts.orderBy(F.desc("n"), "key").limit(MOST_COSTLY).select("key").toPandas()["key"]
+    return Costly(top.to_numpy(np.int64).astype(np.uint64), buckets)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, prefix array<long>")
+
+def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
+    """``(shingle, node)`` of indexed shingles that more than one node has, and of all costly ones."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, int]] = []
+
+        def flush() -> pa.RecordBatch:
+            nodes = {h[2]: h for h in held}.values()  # equal sets once
+            parts = []
+            for k in (0, 1):
+                shingles = np.concatenate([h[k] for h in nodes])
+                owner = np.repeat(np.array([h[2] for h in nodes], np.int64), [len(h[k]) for h in nodes])
+                # Costly shingles may have very many nodes: they are dealt by node, and only passed on.
+                by = shingles >> np.uint64(32) if k == 0 else _mix(owner.view(np.uint64))
+                parts += [(name, bool(k), *data) for name, data in _dealt((by % np.uint64(buckets)).astype(np.int64), shingles, owner)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in parts], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.binary(), pa.binary()))], names=["bucket", "dear", "shingles", "nodes"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                sets = shingle_sets(_texts(batch.column(0).slice(at, 512)))
+                for s, node in zip(sets, _node(sets).tolist(), strict=True):
+                    if len(s):
+                        held.append((*adaptive_prefix(s, costly.value)[:2], node))
+                if sum(len(h[0]) + len(h[1]) for h in held) >= FLUSH:
+                    yield flush()
+        if held:
+            yield flush()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, bool], tuple[list[bytes], list[bytes]]] = {}
+        for batch in batches:
+            for bucket, dear, shingles, nodes in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                x, y = held.setdefault((bucket, dear), ([], []))
+                x.append(shingles)
+                y.append(nodes)
+        for (_, dear), (x, y) in held.items():
+            shingles, nodes = np.frombuffer(b"".join(x), np.int64), np.frombuffer(b"".join(y), np.int64)
+            order = np.lexsort((nodes, shingles))
+            shingles, nodes = shingles[order], nodes[order]
+            same = shingles[1:] == shingles[:-1]
+            fresh = np.concatenate([[True], ~(same & (nodes[1:] == nodes[:-1]))])
+            shingles, nodes = shingles[fresh], nodes[fresh]
+            same = shingles[1:] == shingles[:-1]
+            keep = np.ones(len(shingles), bool) if dear else np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            yield pa.RecordBatch.from_arrays([pa.array(shingles[keep]), pa.array(nodes[keep])], names=["shingle", "node"])
+
+    text = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
+    packed = text.mapInArrow(emit, "bucket long, dear boolean, shingles binary, nodes binary")
+    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, node long")
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, costly) -> DataFrame:
     """``(node, n, data, long, matches)`` of the nodes whose document ``(id, node)`` is wanted."""
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.select("id", "node"), "id")
+    ids = wanted.select("id", "node")
+    if wanted.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)  # 16 bytes a row; beyond the bound the join is shuffled
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sets = shingle_sets(_texts(part.column(0)))
-                shape = [adaptive_prefix(s, costly.value)[1:] for s in sets]
+                shape = [adaptive_prefix(s, costly.value)[2:] for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(1), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([x[0] for x in shape], pa.int32()), pa.array([x[1] for x in shape], pa.int32())],
                     names=["node", "data", "long", "matches"],
@@ -224,30 +351,15 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     component. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    documents = materialize(_documents(docs, id_col, text_col), "shingles")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = materialize(_documents(docs, id_col, text_col, buckets), "shingles")
+    documents = first.where("bucket is null").select("id", "n", "node")
+    costly = spark.sparkContext.broadcast(_costly(first, buckets))
     nodes = materialize(documents.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")), "nodes")
-    counts = documents.select(F.explode("prefix").alias("shingle")).groupBy("shingle").count().where(F.col("count") >= COSTLY)
-    dear = counts.orderBy(F.desc("count"), "shingle").limit(MOST_COSTLY).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
-    costly = spark.sparkContext.broadcast(np.sort(dear.view(np.uint64)))
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                sets = shingle_sets(_texts(part.column(0)))
-                with np.errstate(over="ignore"):
-                    node = np.array([_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s)) for s in sets], np.uint64)
-                indexed = [adaptive_prefix(s, costly.value)[0] for s in sets]
-                lengths = [len(x) for x in indexed]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate([*indexed, np.zeros(0, np.uint64)]))), pa.array(np.repeat(_signed(_mix(node)), lengths)), pa.array(np.repeat(np.array([len(s) for s in sets], np.int64), lengths))],
-                    names=["shingle", "node", "n"],
-                )
-
-    text = F.col(text_col).cast("string").alias("text")
-    index = materialize(docs.select(text).where(F.col("text").isNotNull()).mapInArrow(emit, "shingle long, node long, n long"), "index")
-    ends = index.groupBy("shingle").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last")
-    index = materialize(index.join(ends, "shingle").select("shingle", "node", "n", "leader").distinct(), "shared")
+    shared = materialize(_shared(docs, text_col, costly, buckets), "shared")
+    ends = shared.groupBy("shingle").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last")
+    index = shared.join(ends.select("shingle", "leader"), "shingle").distinct().join(nodes.select("node", "n"), "node")
+    index = materialize(index.select("shingle", "node", "n", "leader"), "index")
 
     size = nodes.select(F.col("node").alias("leader"), F.col("n").alias("of"))
     alike = 100 * F.least("n", "of") >= PERCENT * F.greatest("n", "of")
@@ -270,8 +382,9 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near = (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
     rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(verified(rest, "more"))
-    found = connected_components(links, "a", "b")
+    if not rest.isEmpty():
+        links = links.unionByName(verified(rest, "more"))
+        found = connected_components(links, "a", "b")
 
     whole = nodes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = whole.groupBy("component").agg(F.min("id").alias("component_id"))
