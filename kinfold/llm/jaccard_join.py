@@ -15,11 +15,11 @@ from here on. (2) Counts of the plain prefixes of all documents, by packed 32-bi
 give the costly shingles (they only choose the order; any choice gives the same links).
 (3) A second pass emits the indexed shingles, packed by bucket; shingles that only one
 node has drop out where the buckets meet. Costly ones are dealt by node instead, as very
-many nodes may have them. (4) Per shingle, all nodes are compared with
-the smallest one: linear in the index, and enough to bind a large group of near copies
-together. (5) Every pair that still lies in two different components and shares an
-indexed shingle is verified. No link between components can be missed: pairs inside one
-component need no more links. (6) Components, and the documents' smallest ids.
+many nodes may have them. (4) Per shingle, all nodes are paired with
+the smallest one; pairs with enough matches are verified. That is linear in the index, and
+enough to bind a large group of near copies together. (5) Every pair that still lies in
+two different components and shares enough indexed shingles is verified. No link between
+components can be missed, and pairs inside one component need no more links. (6) Components, and the documents' smallest ids.
 
 Equal 64-bit hashes stand for equal shingles and equal sets.
 """
@@ -311,9 +311,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, costly
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sets = shingle_sets(_texts(part.column(0)))
+                mine = np.flatnonzero(_node(sets) == part.column(1).to_numpy())  # an id may have several texts
+                sets = [sets[i] for i in mine]
                 shape = [adaptive_prefix(s, costly.value)[2:] for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([x[0] for x in shape], pa.int32()), pa.array([x[1] for x in shape], pa.int32())],
+                    [part.column(1).take(pa.array(mine)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([x[0] for x in shape], pa.int32()), pa.array([x[1] for x in shape], pa.int32())],
                     names=["node", "data", "long", "matches"],
                 )
 
@@ -361,14 +363,22 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     index = shared.join(ends.select("shingle", "leader"), "shingle").distinct().join(nodes.select("node", "n"), "node")
     index = materialize(index.select("shingle", "node", "n", "leader"), "index")
 
-    size = nodes.select(F.col("node").alias("leader"), F.col("n").alias("of"))
-    alike = 100 * F.least("n", "of") >= PERCENT * F.greatest("n", "of")
-    stars = index.where("node != leader").select("leader", "node", "n").distinct().join(size, "leader").where(alike)
-    stars = materialize(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")), "stars")
+    def plausible(pairs: DataFrame) -> DataFrame:
+        """Pairs ``(a, na, b, nb, c)`` whose ``c`` common indexed shingles allow the similarity.
+
+        Behind the prefix that ends first there are n - p shingles of its set, so no more than
+        c + max(na - pa, nb - pb) are common, and 180 times that must reach 80 * (na + nb).
+        """
+        behind = lambda n: F.floor((PERCENT * F.col(n) + 99) / 100) - 1
+        return pairs.where((100 + PERCENT) * (F.col("c") + F.greatest(behind("na"), behind("nb"))) >= PERCENT * (F.col("na") + F.col("nb")))
+
+    size = nodes.select(F.col("node").alias("leader"), F.col("n").alias("na"))
+    stars = index.where("node != leader").groupBy("leader", "node", "n").agg(F.count("*").alias("c")).withColumnRenamed("n", "nb").join(size, "leader")
+    stars = materialize(plausible(stars).select(F.col("leader").alias("a"), F.col("node").alias("b")), "stars")
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-        sets = materialize(_sets(docs, id_col, text_col, ends, costly).dropDuplicates(["node"]), "sets")
+        sets = materialize(_sets(docs, id_col, text_col, ends, costly), "sets")
         return materialize(_verified(pairs, sets), label)
 
     links = verified(stars, "links")
@@ -380,7 +390,8 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     a = open_.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     b = open_.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     near = (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
-    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near)
+    rest = plausible(rest.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"))).select("a", "b")
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, "more"))
