@@ -70,7 +70,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are (null: ``n_lines`` 0). Rows with equal id and text are one document: they do not
     count as repetitions of each other, and get the same result. A null id sorts first.
     """
-    starts = materialize(repeated_positions(docs, id_col, text_col, width), "repeats")
+    # Always a sort-merge join: the plan is the same at every size.
+    starts = materialize(repeated_positions(docs, id_col, text_col, width), "repeats").hint("merge")
     names = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]  # columns of these names are replaced
     keyed = docs.withColumns({f"_k{i}": c for i, c in enumerate(_key(id_col, text_col))})
     joined = keyed.join(
