@@ -181,6 +181,24 @@ def _node(sets: list[np.ndarray]) -> np.ndarray:
     return _signed(_mix(np.array(sums, np.uint64)))
 
 
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles by their hash modulo a power of two of 4 n or more bits."""
+    size = max(64, 1 << (4 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """What two sets differ in, at least: their parities differ nowhere else."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
     """The columns' values by bucket, packed."""
     if not len(bucket):
@@ -192,7 +210,7 @@ def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """Rows ``(id, n, node)`` of each document, and packed rows ``(bucket, data)`` of plain prefixes."""
+    """Rows ``(id, n, node)`` of each document, with its parities in ``data``, and packed rows ``(bucket, data)`` of plain prefixes."""
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa_type(docs, id_col)
     names = ["id", "n", "node", "bucket", "data"]
@@ -213,7 +231,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
                 sets = shingle_sets(_texts(part.column(1)))
                 held += [s[: prefix_length(len(s))] for s in sets if len(s)]
                 n = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
                 if sum(map(len, held)) >= FLUSH:
                     yield flush()
         if held:
@@ -357,24 +375,35 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = materialize(_documents(docs, id_col, text_col, buckets), "shingles")
     documents = first.where("bucket is null").select("id", "n", "node")
     costly = spark.sparkContext.broadcast(_costly(first, buckets))
-    nodes = materialize(documents.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")), "nodes")
+    nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"))
+    nodes = materialize(nodes, "nodes")
     shared = materialize(_shared(docs, text_col, costly, buckets), "shared")
     ends = shared.groupBy("shingle").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last")
     index = shared.join(ends.select("shingle", "leader"), "shingle").distinct().join(nodes.select("node", "n"), "node")
     index = materialize(index.select("shingle", "node", "n", "leader"), "index")
 
+    @F.pandas_udf("long")
+    def difference(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([least_difference(a, b) for a, b in zip(x, y, strict=True)], dtype="int64")
+
     def plausible(pairs: DataFrame) -> DataFrame:
         """Pairs ``(a, na, b, nb, c)`` whose ``c`` common indexed shingles allow the similarity.
 
         Behind the prefix that ends first there are n - p shingles of its set, so no more than
         c + max(na - pa, nb - pb) are common, and 180 times that must reach 80 * (na + nb).
+        Sets so similar differ in no more than (na + nb) / 9 shingles; their parities show
+        differences at a sixteenth of the sets' size.
         """
         behind = lambda n: F.floor((PERCENT * F.col(n) + 99) / 100) - 1
-        return pairs.where((100 + PERCENT) * (F.col("c") + F.greatest(behind("na"), behind("nb"))) >= PERCENT * (F.col("na") + F.col("nb")))
+        pairs = pairs.where((100 + PERCENT) * (F.col("c") + F.greatest(behind("na"), behind("nb"))) >= PERCENT * (F.col("na") + F.col("nb")))
+        for side in ("a", "b"):
+            pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("bits").alias(f"bits_{side}")).hint("merge"), side)
+        differ = difference("bits_a", "bits_b")
+        return pairs.where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
 
     size = nodes.select(F.col("node").alias("leader"), F.col("n").alias("na"))
     stars = index.where("node != leader").groupBy("leader", "node", "n").agg(F.count("*").alias("c")).withColumnRenamed("n", "nb").join(size, "leader")
-    stars = materialize(plausible(stars).select(F.col("leader").alias("a"), F.col("node").alias("b")), "stars")
+    stars = materialize(plausible(stars.withColumnsRenamed({"leader": "a", "node": "b"})), "stars")
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
@@ -391,7 +420,7 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     b = open_.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     near = (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
     rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near)
-    rest = plausible(rest.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"))).select("a", "b")
+    rest = plausible(rest.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c")))
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, "more"))
