@@ -15,11 +15,12 @@ from here on. (2) Counts of the plain prefixes of all documents, by packed 32-bi
 give the costly shingles (they only choose the order; any choice gives the same links).
 (3) A second pass emits the indexed shingles, packed by bucket; shingles that only one
 node has drop out where the buckets meet. Costly ones are dealt by node instead, as very
-many nodes may have them. (4) Per shingle, all nodes are paired with
-the smallest one; pairs with enough matches are verified. That is linear in the index, and
-enough to bind a large group of near copies together. (5) Every pair that still lies in
+many nodes may have them. (4) Sets that agree in the
+least shingles of some residue classes are compared with one of them. That is linear, and
+binds large groups of near copies together beforehand. (5) Every pair that still lies in
 two different components and shares enough indexed shingles is verified. No link between
-components can be missed, and pairs inside one component need no more links. (6) Components, and the documents' smallest ids.
+components can be missed, and pairs inside one component need no more links. (6) Components,
+and the documents' smallest ids.
 
 Equal 64-bit hashes stand for equal shingles and equal sets.
 """
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.tables import table
@@ -45,6 +46,10 @@ PERCENT = 80
 COSTLY = 24
 #: Most shingles that are treated as costly (the most frequent ones; any choice is exact).
 MOST_COSTLY = 200_000
+#: Keys a set has in the rounds of stars.
+BANDS = 10
+#: Parts that a band's nodes are dealt to for the chains.
+PARTS = 64
 #: Shingles a task holds before it deals them out, packed by bucket.
 FLUSH = 1 << 20
 #: Most documents whose ids are broadcast to pick their texts for verification.
@@ -134,6 +139,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
+def lead_length(n: int, percent: int = PERCENT) -> int:
+    """Shingles of which a similar set that is no smaller must share one."""
+    return n - (2 * percent * n + 99 + percent) // (100 + percent) + 1 if n else 0
+
+
 def _keys(shingles: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket and lower half of each hash: what prefix counts are kept by."""
     return ((shingles >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | (shingles & np.uint64(0xFFFFFFFF))
@@ -188,6 +198,16 @@ def parity_bits(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """Hashes of the least shingles of three residue classes each: equal for most sets that are alike."""
+    least = np.zeros(3 * BANDS, np.uint64)
+    names, at = np.unique(shingles % np.uint64(3 * BANDS), return_index=True)
+    least[names.astype(np.int64)] = shingles[at]
+    least = least.reshape(BANDS, 3)
+    keys = _mix((least * np.array([1, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+    return _signed(keys[least.any(axis=1)])
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """What two sets differ in, at least: their parities differ nowhere else."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -213,7 +233,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
     """Rows ``(id, n, node)`` of each document, with its parities in ``data``, and packed rows ``(bucket, data)`` of plain prefixes."""
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa_type(docs, id_col)
-    names = ["id", "n", "node", "bucket", "data"]
+    names = ["id", "n", "node", "bands", "bucket", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -223,7 +243,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
             dealt = list(_dealt((keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)))
             held.clear()
             n = len(dealt)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -231,13 +251,13 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
                 sets = shingle_sets(_texts(part.column(1)))
                 held += [s[: prefix_length(len(s))] for s in sets if len(s)]
                 n = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
                 if sum(map(len, held)) >= FLUSH:
                     yield flush()
         if held:
             yield flush()
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, bucket long, data binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, bands array<long>, bucket long, data binary")
 
 
 def pa_type(df: DataFrame, column: str) -> pa.DataType:
@@ -266,10 +286,10 @@ def _costly(packed: DataFrame, buckets: int) -> Costly:
 
 
 def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
-    """``(shingle, node)`` of indexed shingles that more than one node has, and of all costly ones."""
+    """``(shingle, node, lead)`` of indexed shingles that more than one node has, and of all costly ones."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, int]] = []
+        held: list[tuple[np.ndarray, np.ndarray, int, int]] = []
 
         def flush() -> pa.RecordBatch:
             nodes = {h[2]: h for h in held}.values()  # equal sets once
@@ -277,44 +297,44 @@ def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
             for k in (0, 1):
                 shingles = np.concatenate([h[k] for h in nodes])
                 owner = np.repeat(np.array([h[2] for h in nodes], np.int64), [len(h[k]) for h in nodes])
+                lead = np.concatenate([np.arange(len(h[k])) + k * len(h[0]) < h[3] for h in nodes]).astype(np.uint8)
                 # Costly shingles may have very many nodes: they are dealt by node, and only passed on.
                 by = shingles >> np.uint64(32) if k == 0 else _mix(owner.view(np.uint64))
-                parts += [(name, bool(k), *data) for name, data in _dealt((by % np.uint64(buckets)).astype(np.int64), shingles, owner)]
+                parts += [(name, bool(k), *data) for name, data in _dealt((by % np.uint64(buckets)).astype(np.int64), shingles, owner, lead)]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in parts], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.binary(), pa.binary()))], names=["bucket", "dear", "shingles", "nodes"])
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in parts], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "dear", "shingles", "nodes", "leads"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 sets = shingle_sets(_texts(batch.column(0).slice(at, 512)))
                 for s, node in zip(sets, _node(sets).tolist(), strict=True):
                     if len(s):
-                        held.append((*adaptive_prefix(s, costly.value)[:2], node))
+                        held.append((*adaptive_prefix(s, costly.value)[:2], node, lead_length(len(s))))
                 if sum(len(h[0]) + len(h[1]) for h in held) >= FLUSH:
                     yield flush()
         if held:
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bool], tuple[list[bytes], list[bytes]]] = {}
+        held: dict[tuple[int, bool], tuple[list[bytes], list[bytes], list[bytes]]] = {}
         for batch in batches:
-            for bucket, dear, shingles, nodes in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                x, y = held.setdefault((bucket, dear), ([], []))
-                x.append(shingles)
-                y.append(nodes)
-        for (_, dear), (x, y) in held.items():
-            shingles, nodes = np.frombuffer(b"".join(x), np.int64), np.frombuffer(b"".join(y), np.int64)
+            for bucket, dear, *packed in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
+                for to, data in zip(held.setdefault((bucket, dear), ([], [], [])), packed, strict=True):
+                    to.append(data)
+        for (_, dear), (x, y, z) in held.items():
+            shingles, nodes, leads = np.frombuffer(b"".join(x), np.int64), np.frombuffer(b"".join(y), np.int64), np.frombuffer(b"".join(z), np.uint8)
             order = np.lexsort((nodes, shingles))
-            shingles, nodes = shingles[order], nodes[order]
+            shingles, nodes, leads = shingles[order], nodes[order], leads[order]
             same = shingles[1:] == shingles[:-1]
             fresh = np.concatenate([[True], ~(same & (nodes[1:] == nodes[:-1]))])
-            shingles, nodes = shingles[fresh], nodes[fresh]
+            shingles, nodes, leads = shingles[fresh], nodes[fresh], leads[fresh]
             same = shingles[1:] == shingles[:-1]
             keep = np.ones(len(shingles), bool) if dear else np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            yield pa.RecordBatch.from_arrays([pa.array(shingles[keep]), pa.array(nodes[keep])], names=["shingle", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(shingles[keep]), pa.array(nodes[keep]), pa.array(leads[keep] > 0)], names=["shingle", "node", "lead"])
 
     text = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
-    packed = text.mapInArrow(emit, "bucket long, dear boolean, shingles binary, nodes binary")
-    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, node long")
+    packed = text.mapInArrow(emit, "bucket long, dear boolean, shingles binary, nodes binary, leads binary")
+    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, node long, lead boolean")
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, costly) -> DataFrame:
@@ -375,53 +395,61 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = materialize(_documents(docs, id_col, text_col, buckets), "shingles")
     documents = first.where("bucket is null").select("id", "n", "node")
     costly = spark.sparkContext.broadcast(_costly(first, buckets))
-    nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"))
+    nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"), F.any_value("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")
     shared = materialize(_shared(docs, text_col, costly, buckets), "shared")
-    ends = shared.groupBy("shingle").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last")
-    index = shared.join(ends.select("shingle", "leader"), "shingle").distinct().join(nodes.select("node", "n"), "node")
-    index = materialize(index.select("shingle", "node", "n", "leader"), "index")
+    index = materialize(shared.distinct().join(nodes.select("node", "n"), "node"), "index")
 
     @F.pandas_udf("long")
     def difference(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([least_difference(a, b) for a, b in zip(x, y, strict=True)], dtype="int64")
 
     def plausible(pairs: DataFrame) -> DataFrame:
-        """Pairs ``(a, na, b, nb, c)`` whose ``c`` common indexed shingles allow the similarity.
+        """The pairs ``(a, na, b, nb)`` whose parities allow the similarity.
 
-        Behind the prefix that ends first there are n - p shingles of its set, so no more than
-        c + max(na - pa, nb - pb) are common, and 180 times that must reach 80 * (na + nb).
         Sets so similar differ in no more than (na + nb) / 9 shingles; their parities show
         differences at a sixteenth of the sets' size.
         """
-        behind = lambda n: F.floor((PERCENT * F.col(n) + 99) / 100) - 1
-        pairs = pairs.where((100 + PERCENT) * (F.col("c") + F.greatest(behind("na"), behind("nb"))) >= PERCENT * (F.col("na") + F.col("nb")))
         for side in ("a", "b"):
             pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("bits").alias(f"bits_{side}")).hint("merge"), side)
         differ = difference("bits_a", "bits_b")
         return pairs.where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
 
-    size = nodes.select(F.col("node").alias("leader"), F.col("n").alias("na"))
-    stars = index.where("node != leader").groupBy("leader", "node", "n").agg(F.count("*").alias("c")).withColumnRenamed("n", "nb").join(size, "leader")
-    stars = materialize(plausible(stars.withColumnsRenamed({"leader": "a", "node": "b"})), "stars")
-
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
         sets = materialize(_sets(docs, id_col, text_col, ends, costly), "sets")
         return materialize(_verified(pairs, sets), label)
 
+    # Stars and chains first: of the nodes with an equal band, each is compared with the least one,
+    # and with the two before it among those that fall into the same part of the band.
+    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
+    leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("of"), F.max("node").alias("last")).where("of.node != last")
+    stars = banded.join(leaders.select("band", F.col("of").alias("x")), "band")
+    before = Window.partitionBy("band", F.pmod("node", F.lit(PARTS))).orderBy("node")
+    lags = stars.select("node", "n", *[F.lag(F.struct("node", "n"), k).over(before).alias(f"x{k}") for k in (1, 2)])
+    chains = lags.select("node", "n", F.explode(F.array_compact(F.array("x1", "x2"))).alias("x"))
+    flat = [F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")]
+    stars = stars.select(*flat).union(chains.select(*flat)).where("a != b").distinct()
+    alike = PERCENT * F.greatest("na", "nb") <= 100 * F.least("na", "nb")
+    stars = materialize(plausible(stars.where(alike)), "stars")
     links = verified(stars, "links")
     found = connected_components(links, "a", "b")
-    placed = index.select("shingle", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    placed = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = materialize(placed, "placed")
     split = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("shingle")
     open_ = placed.join(split, "shingle")
-    a = open_.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    # The smaller set of a pair has a common shingle in its lead, or the pair is not similar.
+    a = open_.where("lead").select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     b = open_.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    near = (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
-    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near)
-    rest = plausible(rest.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c")))
-    rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    near = (100 * F.col("na") >= PERCENT * F.col("nb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & near).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"))
+    # Behind the prefix that ends first there are n - p shingles of its set, so that
+    # c + max(na - pa, nb - pb) bounds what is common, and 180 times that must reach 80 * (na + nb).
+    behind = F.floor((PERCENT * F.col("nb") + 99) / 100) - 1
+    after = F.col("na") - (F.col("na") - F.floor((2 * PERCENT * F.col("na") + 99 + PERCENT) / (100 + PERCENT)) + 1)
+    rest = plausible(rest.where((100 + PERCENT) * (F.col("c") + F.greatest(after, behind)) >= PERCENT * (F.col("na") + F.col("nb"))))
+    rest = materialize(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, "more"))
         found = connected_components(links, "a", "b")
