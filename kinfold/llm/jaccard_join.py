@@ -468,7 +468,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     groups = join_groups(docs, id_col, text_col)
     stay = materialize(groups.where(F.col("component_id").isNull() | (F.col("component_id") == F.col(id_col))).select(id_col, "n_shingles"), "stay")
-    kept = docs.join(stay.select(id_col).distinct(), docs[id_col].eqNullSafe(stay[id_col]), "left_semi")
+    kept = docs.join(stay.select(id_col).distinct().hint("merge"), docs[id_col].eqNullSafe(stay[id_col]), "left_semi")
     counts = stay.where(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0)).agg(F.count("*").alias("n"), F.countDistinct(id_col).alias("d")).first()
     if counts["n"] == counts["d"]:
         return kept

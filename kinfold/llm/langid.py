@@ -29,6 +29,8 @@ BUCKETS = 1 << 16
 TRAIN_ROWS = 1500
 SWITCH = 9.0
 CLIP = 6.0
+#: Scores held at once by the exact pass, where a single text does not have more.
+CELLS = 1 << 21
 #: Code points scored at once.
 SLICE = 1 << 20
 
@@ -67,14 +69,13 @@ def script_of() -> np.ndarray:
 def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashed n-grams of the words of ``texts``.
 
-    Returns the trigram and tetragram buckets of each scored position, the word of each
-    position, each word's script and each word's text. Words are runs of letters; the
+    Returns the trigram and tetragram buckets of each scored position, the first position
+    of each word, each word's script and each word's text. Words are runs of letters; the
     position behind a word's last letter is scored too, as its end.
     """
-    points = np.frombuffer(" ".join([*texts, ""]).lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    # Lower-casing may lengthen a text, so the borders are found in the lower-cased texts.
-    lengths = np.array([len(t.lower()) + 1 for t in texts])
-    ends = np.cumsum(lengths)
+    texts = [t.lower() for t in texts]
+    points = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    ends = np.cumsum([len(t) + 1 for t in texts])
     script = script_of()[points]
     letter = script > 0
     c0 = np.where(letter, points, 32).astype(np.uint32)
@@ -83,12 +84,11 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     c3 = np.where(c2 == 32, 32, np.concatenate([[32, 32, 32], c0[:-3]])[: len(c0)]).astype(np.uint32)
     first = letter & (c1 == 32)
     scored = letter | (c1 != 32)
-    word = np.cumsum(first) - 1
     three = (c0 * np.uint32(0x9E3779B1)) ^ (c1 * np.uint32(0x85EBCA77)) ^ (c2 * np.uint32(0xC2B2AE3D))
     four = three ^ (c3 * np.uint32(0x27D4EB2F))
     bucket = [((x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16))[scored] for x in (three, four)]
     text_of_word = np.searchsorted(ends, np.flatnonzero(first), "right")
-    return bucket[0], bucket[1], word[scored], script[first], text_of_word
+    return bucket[0], bucket[1], np.flatnonzero(first[scored]), script[first], text_of_word
 
 
 def _slices(texts: list[str]) -> Iterator[slice]:
@@ -109,18 +109,19 @@ class Model:
     def __init__(self, langs: list[str], three: np.ndarray, four: np.ndarray, scripts: np.ndarray):
         self.langs = langs
         smooth = [np.log((c + 0.5) / (c.sum(axis=0) + 0.5 * BUCKETS)) for c in (three, four)]
-        self.tables = [x.astype(np.float32) for x in smooth]
+        self.tables = [np.ascontiguousarray(x.T, np.float32) for x in smooth]  # language by bucket
         share = scripts / np.maximum(scripts.sum(axis=0), 1)
         self.candidates = share >= 0.01  # script by language
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Per word: scores by language (0 for the best candidate, down to ``-CLIP``), and its text."""
-        three, four, word, script, text = _features(texts)
+        three, four, starts, script, text = _features(texts)
         n = len(text)
         if not n:
             return np.zeros((0, len(self.langs)), np.float32), text
-        starts = np.searchsorted(word, np.arange(n))
-        total = np.add.reduceat(self.tables[0][three] + self.tables[1][four], starts, axis=0)
+        total = np.empty((n, len(self.langs)), np.float32)
+        for k in range(len(self.langs)):
+            total[:, k] = np.add.reduceat(self.tables[0][k][three] + self.tables[1][k][four], starts)
         allowed = self.candidates[script]
         none = ~allowed.any(axis=1)
         total[~allowed] = -np.inf
@@ -129,47 +130,61 @@ class Model:
         return np.maximum(total, -CLIP), text
 
 
-def decode(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """The best label of each word of one text when each change of label costs ``switch``.
+def constant(scores: np.ndarray, switch: float) -> int:
+    """The one label that is best for all words of a text when a change costs ``switch``; -1 if none is proven.
 
-    A constant labelling is best, and taken without the pass, where no stretch of words
-    prefers another label by more than half the penalty: n such stretches gain at most
-    n / 2 penalties and take at least n - 1 changes, and a whole other label gains nothing.
+    Against the label with the best sum, let no stretch of words gain more than ``switch`` by
+    another label, nor the text's beginning and end together. A path with m stretches of
+    other labels inside the text pays for m + 1 changes or more, one at its border for m; and
+    a path without the best label pays m - 1, of which beginning and end gain one.
     """
-    n, k = scores.shape
     best = int(scores.sum(axis=0).argmax())
-    rise = np.cumsum(np.vstack([np.zeros((1, k)), scores - scores[:, best : best + 1]]), axis=0)
-    if (rise - np.minimum.accumulate(rise, axis=0)).max() <= switch / 2:
-        return np.full(n, best, np.int16)
-    return viterbi([scores], switch)[0]
+    begin = end = 0.0
+    for other in range(scores.shape[1]):
+        if other != best:
+            rise = np.cumsum(scores[:, other] - scores[:, best], dtype=np.float64)
+            low = np.minimum(np.minimum.accumulate(rise), 0)
+            if (rise - low).max() > switch:
+                return -1
+            begin, end = max(begin, rise.max()), max(end, rise[-1] - low[-1])
+    return best if begin + end <= switch else -1
+
+
+def decode(many: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
+    """The best label of each word of each text when each change of label costs ``switch``."""
+    out = [np.full(len(s), constant(s, switch), np.int16) for s in many]
+    hard = sorted((i for i in range(len(many)) if out[i][0] < 0), key=lambda i: -len(many[i]))
+    while hard:
+        take = max(1, min(len(hard), CELLS // (len(many[hard[0]]) * many[0].shape[1])))
+        for i, path in zip(hard[:take], viterbi([many[i] for i in hard[:take]], switch), strict=True):
+            out[i] = path
+        hard = hard[take:]
+    return out
 
 
 def viterbi(many: list[np.ndarray], switch: float) -> list[np.ndarray]:
-    """The exact pass for several texts at once, one step a word position."""
-    order = sorted(range(len(many)), key=lambda i: -len(many[i]))
-    longest, k = len(many[order[0]]), many[0].shape[1]
-    lengths = np.array([len(many[i]) for i in order])
-    active = np.searchsorted(-lengths, -np.arange(longest), "left")  # texts longer than t
-    total = np.stack([many[i][0] for i in order]).astype(np.float64)
-    came = [np.empty((0, k), np.int16)]
+    """The exact pass for several texts at once, one step a word position.
+
+    Shorter texts go on with scores of 0, on which no change of label pays.
+    """
+    n, longest, k = len(many), max(map(len, many)), many[0].shape[1]
+    scores = np.zeros((longest, n, k), np.float32)
+    for i, s in enumerate(many):
+        scores[: len(s), i] = s
+    total = scores[0].astype(np.float64)
+    came = np.empty((longest, n, k), np.int16)
+    labels, rows = np.arange(k, dtype=np.int16), np.arange(n)
     for t in range(1, longest):
-        m = int(active[t])
-        previous = total[:m]
-        jump = previous.argmax(axis=1)
-        reach = previous[np.arange(m), jump] - switch
-        stay = previous >= reach[:, None]
-        came.append(np.where(stay, np.arange(k), jump[:, None]).astype(np.int16))
-        total[:m] = np.where(stay, previous, reach[:, None]) + np.stack([many[i][t] for i in order[:m]])
-    out: list[np.ndarray] = [np.empty(0)] * len(many)
-    for row, i in enumerate(order):
-        label = int(total[row].argmax())
-        path = np.empty(lengths[row], np.int16)
-        for t in range(lengths[row] - 1, -1, -1):
-            path[t] = label
-            if t:
-                label = int(came[t][row, label])
-        out[i] = path
-    return out
+        jump = total.argmax(axis=1)
+        reach = total[rows, jump] - switch
+        stay = total >= reach[:, None]
+        came[t] = np.where(stay, labels, jump[:, None])
+        total = np.where(stay, total, reach[:, None]) + scores[t]
+    path = np.empty((longest, n), np.int16)
+    path[-1] = total.argmax(axis=1)
+    for t in range(longest - 1, 0, -1):
+        path[t - 1] = came[t, rows, path[t]]
+    return [path[: len(s), i] for i, s in enumerate(many)]
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model:
@@ -215,11 +230,13 @@ def label(texts: list[str | None], model: Model, switch: float = SWITCH) -> list
         mine = whole[part]
         scores, text = model.scores(mine)
         borders = np.searchsorted(text, np.arange(len(mine) + 1))
+        some = [i for i in range(len(mine)) if borders[i] < borders[i + 1]]
+        paths = dict(zip(some, decode([scores[borders[i] : borders[i + 1]] for i in some], switch), strict=True))
         for i in range(len(mine)):
-            if borders[i] == borders[i + 1]:
+            if i not in paths:
                 out.append(("und", 0.0, []))
                 continue
-            path = decode(scores[borders[i] : borders[i + 1]], switch)
+            path = paths[i]
             words = np.bincount(path, minlength=len(model.langs))
             best = int(words.argmax())
             cuts = np.flatnonzero(np.diff(path)) + 1
