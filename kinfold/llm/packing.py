@@ -190,7 +190,13 @@ def _configurations(sizes: list[int], demand: list[int], capacity: int, rounds:
     return [([int(x) for x in basis[:, j]], max(0.0, float(amount[j]))) for j in range(k)]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = 48, small: int = 8) -> list[tuple[int, int, int, int, int]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
+    """The best of the grouped plans for a few bounds between long and short pieces."""
+    plans = [grouped_plan(histogram, capacity, small=small) for small in (2, 3)]
+    return min(plans, key=lambda runs: max((r[3] + r[2] for r in runs), default=0))
+
+
+def grouped_plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = 48, small: int = 3) -> list[tuple[int, int, int, int, int]]:
     """Runs ``(length, first rank, number, first sequence, offset)`` that place every piece.
 
     ``histogram`` has the number of pieces of each length. The pieces of one length are
