@@ -2,13 +2,14 @@
 
 A payload (bytes, padded with zeros to a positive multiple of 64) is stored losslessly as
 the samples of an 8-bit greyscale PNG image of width 64. Images are members of tar shards,
-named by the SHA-256 of their payload; equal payloads are stored once. Rows carry the
+named by the SHA-256 of their payload; equal payloads have one address. Rows carry the
 digest, shard, offset and length of their member. Metadata columns are filled from the
 image header alone, by a range read of its first bytes; features from a range read of the
 whole member.
 
-Scale: payloads are compressed, and equal ones merged within each task, before the one
-shuffle that brings equal digests together. A shard is written by one task under a name of
+Scale: payloads are never shuffled. Each task writes its own shards, a payload once; the
+index then has one member a digest, so that all rows with equal payloads share it (members
+that other tasks wrote of it are not referred to). A shard is written by one task under a name of
 its own attempt; only shards named in the index that was written count, so lost or
 repeated tasks do no harm. Shards live in the shared folder and are reached by
 ``pyarrow.fs``, never by local paths.
@@ -93,46 +94,44 @@ def feature(data: bytes) -> str:
 def store(payloads: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write the distinct ``payload`` values to shards in ``folder``: ``(digest, shard, offset, length)``."""
 
-    def images(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                made: dict[str, bytes] = {}
-                for data in batch.column(0).slice(at, 512).to_pylist():
-                    digest = hashlib.sha256(data).hexdigest()
-                    if digest not in made:
-                        made[digest] = encode_png(data)
-                yield pa.RecordBatch.from_arrays([pa.array(list(made)), pa.array(list(made.values()), pa.binary())], names=["digest", "image"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pyarrow.fs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         shard, out, at = "", None, 0
+        seen: set[bytes] = set()
         try:
             for batch in batches:
-                rows: list[tuple[str, str, int, int]] = []
-                for digest, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    if out is None:
-                        shard, at = f"{uuid.uuid4().hex}.tar", 0
-                        out = fs.open_output_stream(f"{root}/{shard}")
-                    info = tarfile.TarInfo(f"{digest}.png")
-                    info.size = len(image)
-                    head = info.tobuf(tarfile.USTAR_FORMAT)
-                    out.write(head + image + bytes(-len(image) % 512))
-                    rows.append((digest, shard, at + len(head), len(image)))
-                    at += len(head) + len(image) + -len(image) % 512
-                    if at >= shard_bytes:
-                        out.write(bytes(1024))
-                        out.close()
-                        out = None
-                columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], names=["digest", "shard", "offset", "length"])
+                for start in range(0, batch.num_rows, 512):
+                    rows: list[tuple[str, str, int, int]] = []
+                    for data in batch.column(0).slice(start, 512).to_pylist():
+                        key = hashlib.sha256(data).digest()
+                        if key in seen:
+                            continue
+                        seen.add(key)
+                        image = encode_png(data)
+                        if out is None:
+                            shard, at = f"{uuid.uuid4().hex}.tar", 0
+                            out = fs.open_output_stream(f"{root}/{shard}")
+                        info = tarfile.TarInfo(f"{key.hex()}.png")
+                        info.size = len(image)
+                        head = info.tobuf(tarfile.USTAR_FORMAT)
+                        out.write(head + image + bytes(-len(image) % 512))
+                        rows.append((key.hex(), shard, at + len(head), len(image)))
+                        at += len(head) + len(image) + -len(image) % 512
+                        if at >= shard_bytes:
+                            out.write(bytes(1024))
+                            out.close()
+                            out = None
+                    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], names=["digest", "shard", "offset", "length"])
         finally:
             if out is not None:
                 out.write(bytes(1024))
                 out.close()
 
-    once = payloads.select("payload").mapInArrow(images, "digest string, image binary").groupBy("digest").agg(F.any_value("image").alias("image"))
-    return materialize(once.mapInArrow(write, "digest string, shard string, offset long, length long"), "index")
+    members = materialize(payloads.select("payload").mapInArrow(write, "digest string, shard string, offset long, length long"), "members")
+    place = F.min(F.struct("shard", "offset", "length")).alias("at")
+    return materialize(members.groupBy("digest").agg(place).select("digest", "at.*").sortWithinPartitions("shard", "offset"), "index")
 
 
 class _Shards:
