@@ -152,8 +152,11 @@ class Model:
         return out
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` documents of each label, the first in the order of a hash of their ids."""
+def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", rows: int = TRAIN_ROWS) -> Model:
+    """Fit on the documents of at most ``rows`` ids of each label, the first in the order of a hash.
+
+    ``labelled`` has an id and a label a row; texts are only fetched for the chosen ids.
+    """
     shares = {int(r[0]): r[1] for r in labelled.groupBy(label_col).count().collect()}
     prior = shares.get(1, 0) / max(1, sum(shares.values())) if shares else 0.5
     order = F.xxhash64(F.col(id_col), F.lit("quality"))
@@ -162,7 +165,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         ids = labelled.where(F.col(label_col) == value).select(id_col, label_col).orderBy(order, id_col).limit(rows)
         picked = ids if picked is None else picked.unionByName(ids)
     picked = materialize(picked.withColumnRenamed(label_col, "_label").withColumnRenamed(id_col, "_picked"), "sample")
-    texts = labelled.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("_picked"))  # at most 2 * rows ids
+    texts = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("_picked"))  # at most 2 * rows ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +178,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
                     names=["id", "at", "n", "label"],
                 )
 
-    kind = labelled.schema[id_col].dataType.simpleString()
+    kind = docs.schema[id_col].dataType.simpleString()
     got = texts.select(id_col, text_col, F.col("_label").cast("int").alias("label")).mapInArrow(run, f"id {kind}, at binary, n binary, label int").orderBy("id", "at").collect()
     sample = np.zeros((len(got), WIDTH))
     for row, g in zip(sample, got, strict=True):
@@ -201,15 +204,15 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: one label an id, ids with contradicting labels left out."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """``(doc_id, label)`` to learn from: one label an id, ids with contradicting labels left out."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
-    one = usable.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("_other")).where("label = _other").drop("_other")
-    return docs.select("doc_id", "text").join(one, "doc_id")
+    one = usable.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("_other"))
+    return one.where("label = _other").drop("_other")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
-    scored = score_quality(docs, fit(labelled_documents(docs, labels)))
+    scored = score_quality(docs, fit(docs, training_labels(labels)))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -165,11 +165,12 @@ def test_quality(spark):
     good = [" ".join(rng.choice(WORDS) for _ in range(60)).capitalize() + "." for _ in range(120)]
     bad = [" ".join(rng.choice(WORDS).upper() + "!!" for _ in range(60)) for _ in range(120)]
     rows = [(i, t, int(i < 120)) for i, t in enumerate(good + bad)]
-    model = quality.fit(spark.createDataFrame([r for r in rows if r[0] % 3], "doc_id long, text string, label int"))
+    train = spark.createDataFrame([r for r in rows if r[0] % 3], "doc_id long, text string, label int")
+    model = quality.fit(train, train.select("doc_id", "label"))
     got = {r.doc_id: r.score for r in quality.score_quality(spark.createDataFrame([r[:2] for r in rows if not r[0] % 3], "doc_id long, text string"), model).collect()}
     assert all((s >= 0.5) == (i < 120) for i, s in got.items())
     assert all(0 <= r.score <= 1 for r in quality.score_quality(_odd(spark), model).collect())
-    none = quality.fit(spark.createDataFrame([], "doc_id long, text string, label int"))
+    none = quality.fit(_none(spark), spark.createDataFrame([], "doc_id long, label int"))
     assert quality.score_quality(_odd(spark), none).count() == 10
 
 
