@@ -190,11 +190,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     index = store(docs.select(payload(text).alias("payload")), folder)
     known = materialize(probe(index, folder).join(features(index, folder), "digest"), "members")
     rows = docs.select(F.col(id_col), F.octet_length(F.coalesce(text, F.lit(""))).cast("long").alias("n_bytes"), F.sha2(payload(text), 256).alias("digest"))
-    # A text that a third of all rows have: its member's row is copied to as many parts as its rows are dealt to.
-    salts = 16
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
-    copied = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
-    return spread.join(copied, ["digest", "_salt"]).drop("_salt")
+    # A text that many rows have is a hot key of the left side only: adaptive execution splits it.
+    return rows.join(known, "digest")
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
