@@ -13,11 +13,14 @@ for before a pair's similarity is computed.
 Steps: (1) one pass hashes the texts, with a signature of each set; equal sets are one node
 from here on. (2) Counts of the plain prefixes of all documents, by packed 32-bit halves,
 give the costly shingles (they only choose the order; any choice gives the same links).
-(3) A second pass emits the indexed shingles, packed by bucket; shingles that only one
+Documents that have some count once more, over as much of their sets as their prefixes may
+grow to: there, shingles are costly that plain prefixes rarely reach. (3) A third pass emits the indexed shingles, packed by bucket; shingles that only one
 node has drop out where the buckets meet. Costly ones are dealt by node instead, as very
 many nodes may have them. (4) Sets that agree in the
 least shingles of some residue classes are compared with one of them. That is linear, and
-binds large groups of near copies together beforehand. (5) Every pair that still lies in
+binds large groups of near copies together beforehand. Then the
+sets in long lists of the index are compared with two sets of each list, which binds what
+the classes missed. (5) Every pair that still lies in
 two different components and shares enough indexed shingles is verified. No link between
 components can be missed, and pairs inside one component need no more links. (6) Components,
 and the documents' smallest ids.
@@ -44,7 +47,7 @@ WORDS = 5
 PERCENT = 80
 #: A shingle in the prefixes of so many documents is costly.
 COSTLY = 24
-#: Most shingles that are treated as costly (the most frequent ones; any choice is exact).
+#: Most shingles that either count adds to the costly ones (the most frequent; any choice is exact).
 MOST_COSTLY = 200_000
 #: Keys a set has in the rounds of stars.
 BANDS = 10
@@ -266,8 +269,38 @@ def pa_type(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType)
 
 
-def _costly(packed: DataFrame, buckets: int) -> Costly:
-    """The shingles that the most plain prefixes have, counted over all documents."""
+def _lengthened(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
+    """Packed rows ``(bucket, data)`` of what the prefixes of documents with costly shingles may grow to.
+
+    The costly share of the plain prefix tells how much is needed; a quarter is added.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            keys = _keys(np.concatenate(held), buckets)
+            dealt = list(_dealt((keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=["bucket", "data"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                for s in shingle_sets(_texts(batch.column(0).slice(at, 512))):
+                    need = prefix_length(len(s))
+                    dear = int(costly.value.among(s[:need]).sum())
+                    if dear:
+                        held.append(s[: need * need * 5 // (4 * (need - dear)) + 16] if dear < need else s)
+                if sum(map(len, held)) >= FLUSH:
+                    yield flush()
+        if held:
+            yield flush()
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").mapInArrow(run, "bucket long, data binary")
+
+
+def _costly(packed: DataFrame, buckets: int, known: Costly | None = None) -> Costly:
+    """The shingles that the most of the packed prefixes have, and those known already."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -282,7 +315,8 @@ def _costly(packed: DataFrame, buckets: int) -> Costly:
 
     counts = packed.select("bucket", "data").where("bucket is not null").repartition(buckets, "bucket").mapInArrow(count, "key long, n long")
     top = counts.orderBy(F.desc("n"), "key").limit(MOST_COSTLY).select("key").toPandas()["key"]
-    return Costly(top.to_numpy(np.int64).astype(np.uint64), buckets)
+    keys = top.to_numpy(np.int64).astype(np.uint64)
+    return Costly(np.union1d(keys, known.keys) if known else keys, buckets)
 
 
 def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
@@ -394,7 +428,8 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = materialize(_documents(docs, id_col, text_col, buckets), "shingles")
     documents = first.where("bucket is null").select("id", "n", "node")
-    costly = spark.sparkContext.broadcast(_costly(first, buckets))
+    plain = spark.sparkContext.broadcast(_costly(first, buckets))
+    costly = spark.sparkContext.broadcast(_costly(_lengthened(docs, text_col, plain, buckets), buckets, plain.value))
     nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"), F.any_value("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")
     shared = materialize(_shared(docs, text_col, costly, buckets), "shared")
@@ -435,20 +470,32 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = verified(stars, "links")
     found = connected_components(links, "a", "b")
 
+    # Long lists of the index next, each set against two that a hash picks from the list.
+    long = index.groupBy("shingle").agg(F.count("*").alias("c"), *[f(F.struct("node", "n"), F.xxhash64("shingle", "node")).alias(k) for k, f in (("x1", F.min_by), ("x2", F.max_by))]).where(F.col("c") >= COSTLY)
+    spokes = index.join(long, "shingle").select("node", "n", F.explode(F.array("x1", "x2")).alias("x")).select(*flat).where("a != b").where(alike)
+    spokes = spokes.select(*[F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na"))]).distinct()
+    for side in ("a", "b"):
+        spokes = spokes.join(found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+    spokes = spokes.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "na", "b", "nb")
+    spokes = materialize(plausible(spokes).join(stars, ["a", "b"], "left_anti"), "spokes")
+    if not spokes.isEmpty():
+        stars = stars.unionByName(spokes)
+        links = links.unionByName(verified(spokes, "spoke_links"))
+        found = connected_components(links, "a", "b")
+
     placed = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = materialize(placed, "placed")
     split = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("shingle")
     open_ = placed.join(split, "shingle")
-    # The smaller set of a pair has a common shingle in its lead, or the pair is not similar.
-    a = open_.where("lead").select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    b = open_.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    a, b = (open_.select("shingle", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("lead").alias(f"lead_{x}")) for x in "ab")
     near = (100 * F.col("na") >= PERCENT * F.col("nb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & near).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"))
-    # Behind the prefix that ends first there are n - p shingles of its set, so that
-    # c + max(na - pa, nb - pb) bounds what is common, and 180 times that must reach 80 * (na + nb).
+    # The smaller set of a pair has a common shingle in its lead, or the pair is not similar.
+    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & near).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"), F.max("lead_a").alias("leads")).where("leads")
+    # Behind the prefix that ends first there are n - p shingles of its set, at most those of
+    # the larger one, so that c + nb - pb bounds what is common, and 180 times that must reach
+    # 80 * (na + nb).
     behind = F.floor((PERCENT * F.col("nb") + 99) / 100) - 1
-    after = F.col("na") - (F.col("na") - F.floor((2 * PERCENT * F.col("na") + 99 + PERCENT) / (100 + PERCENT)) + 1)
-    rest = plausible(rest.where((100 + PERCENT) * (F.col("c") + F.greatest(after, behind)) >= PERCENT * (F.col("na") + F.col("nb"))))
+    rest = plausible(rest.where((100 + PERCENT) * (F.col("c") + behind) >= PERCENT * (F.col("na") + F.col("nb"))))
     rest = materialize(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, "more"))
