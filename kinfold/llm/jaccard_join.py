@@ -57,6 +57,10 @@ PARTS = 64
 FLUSH = 1 << 20
 #: Most documents whose ids are broadcast to pick their texts for verification.
 BROADCAST_ROWS = 400_000
+#: Longs of the small parity sketch that index rows of sets with costly shingles carry.
+SKETCH = 8
+#: Sets of more shingles have no sketch: it would show too few of their differences.
+SKETCHED = 1000
 #: Bytes of text hashed at once.
 SLICE = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 5
@@ -201,6 +205,14 @@ def parity_bits(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray | None:
+    """Parities by the hash modulo a fixed number of bits, as longs; none for large sets."""
+    if len(shingles) > SKETCHED:
+        return None
+    odd = np.bincount((shingles & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def bands(shingles: np.ndarray) -> np.ndarray:
     """Hashes of the least shingles of three residue classes each: equal for most sets that are alike."""
     least = np.zeros(3 * BANDS, np.uint64)
@@ -236,7 +248,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
     """Rows ``(id, n, node)`` of each document, with its parities in ``data``, and packed rows ``(bucket, data)`` of plain prefixes."""
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa_type(docs, id_col)
-    names = ["id", "n", "node", "bands", "bucket", "data"]
+    names = ["id", "n", "node", "bands", "sketch", "bucket", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -246,7 +258,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
             dealt = list(_dealt((keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)))
             held.clear()
             n = len(dealt)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -254,13 +266,13 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
                 sets = shingle_sets(_texts(part.column(1)))
                 held += [s[: prefix_length(len(s))] for s in sets if len(s)]
                 n = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
                 if sum(map(len, held)) >= FLUSH:
                     yield flush()
         if held:
             yield flush()
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, bands array<long>, bucket long, data binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, bands array<long>, sketch array<long>, bucket long, data binary")
 
 
 def pa_type(df: DataFrame, column: str) -> pa.DataType:
@@ -320,7 +332,7 @@ def _costly(packed: DataFrame, buckets: int, known: Costly | None = None) -> Cos
 
 
 def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
-    """``(shingle, node, lead)`` of indexed shingles that more than one node has, and of all costly ones."""
+    """``(shingle, node, lead, dear)`` of indexed shingles that more than one node has, and of all costly ones."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, int, int]] = []
@@ -364,11 +376,11 @@ def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
             shingles, nodes, leads = shingles[fresh], nodes[fresh], leads[fresh]
             same = shingles[1:] == shingles[:-1]
             keep = np.ones(len(shingles), bool) if dear else np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            yield pa.RecordBatch.from_arrays([pa.array(shingles[keep]), pa.array(nodes[keep]), pa.array(leads[keep] > 0)], names=["shingle", "node", "lead"])
+            yield pa.RecordBatch.from_arrays([pa.array(shingles[keep]), pa.array(nodes[keep]), pa.array(leads[keep] > 0), pa.array(np.full(int(keep.sum()), dear))], names=["shingle", "node", "lead", "dear"])
 
     text = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
     packed = text.mapInArrow(emit, "bucket long, dear boolean, shingles binary, nodes binary, leads binary")
-    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, node long, lead boolean")
+    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, node long, lead boolean, dear boolean")
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, costly) -> DataFrame:
@@ -430,7 +442,7 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     documents = first.where("bucket is null").select("id", "n", "node")
     plain = spark.sparkContext.broadcast(_costly(first, buckets))
     costly = spark.sparkContext.broadcast(_costly(_lengthened(docs, text_col, plain, buckets), buckets, plain.value))
-    nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"), F.any_value("bands").alias("bands"))
+    nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
     nodes = materialize(nodes, "nodes")
     shared = materialize(_shared(docs, text_col, costly, buckets), "shared")
     index = materialize(shared.distinct().join(nodes.select("node", "n"), "node"), "index")
@@ -483,14 +495,23 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         links = links.unionByName(verified(spokes, "spoke_links"))
         found = connected_components(links, "a", "b")
 
-    placed = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # A set with costly shingles in the index has all its others there: what dropped out of
+    # these is in no other such set. ``alone`` counts it; null stands for a set without costly ones.
+    need = F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100) + 1
+    alone = index.groupBy("node").agg(F.count("*").alias("kept"), F.max("n").alias("n"), F.max("dear").alias("dear")).select("node", F.when(F.col("dear"), need - F.col("kept")).alias("alone"))
+    alone = alone.join(nodes.select("node", "sketch"), "node").withColumn("sketch", F.when(F.col("alone").isNotNull(), F.col("sketch")))
+    placed = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(alone, "node")
     placed = materialize(placed, "placed")
     split = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("shingle")
     open_ = placed.join(split, "shingle")
-    a, b = (open_.select("shingle", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("lead").alias(f"lead_{x}")) for x in "ab")
+    a, b = (open_.select("shingle", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("alone").alias(f"alone_{x}"), F.col("sketch").alias(f"sketch_{x}"), F.col("lead").alias(f"lead_{x}")) for x in "ab")
     near = (100 * F.col("na") >= PERCENT * F.col("nb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+    common = F.least(F.col("na") - F.col("alone_a"), F.col("nb") - F.col("alone_b"))  # at most, where both have costly ones
+    enough = F.col("alone_a").isNull() | F.col("alone_b").isNull() | ((100 + PERCENT) * common >= PERCENT * (F.col("na") + F.col("nb")))
+    differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)), F.lit(0))
+    enough &= F.coalesce((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb")), F.lit(True))
     # The smaller set of a pair has a common shingle in its lead, or the pair is not similar.
-    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & near).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"), F.max("lead_a").alias("leads")).where("leads")
+    rest = a.join(b, "shingle").where((F.col("ca") != F.col("cb")) & near & enough).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("c"), F.max("lead_a").alias("leads")).where("leads")
     # Behind the prefix that ends first there are n - p shingles of its set, at most those of
     # the larger one, so that c + nb - pb bounds what is common, and 180 times that must reach
     # 80 * (na + nb).
