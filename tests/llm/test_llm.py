@@ -191,6 +191,17 @@ def _shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+@pytest.mark.parametrize("size", [1, 60, 150, 1000])
+def test_sketches_never_show_more_than_the_difference(size):
+    rng = np.random.default_rng(size)
+    for changed in (0, 1, size // 10, size):
+        x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)]))
+        shown = int(np.bitwise_count((jaccard_join.sketch(x) ^ jaccard_join.sketch(y)).view(np.uint64)).sum())
+        assert shown <= len(np.setxor1d(x, y))
+    assert jaccard_join.sketch(np.arange(jaccard_join.SKETCHED + 1, dtype=np.uint64)) is None
+
+
 def test_jaccard_against_brute_force(spark):
     rng = random.Random(8)
     base = [[rng.choice(WORDS) + str(rng.randint(0, 40)) for _ in range(rng.randint(3, 120))] for _ in range(50)]
