@@ -6,6 +6,12 @@ graph: trust starts at hosts of allowed pages and follows links; distrust starts
 of blocked pages and follows links backwards (who links to bad hosts is suspect). A host
 whose distrust outweighs its trust by the threshold is blocked.
 
+Every host is joined to its parent domains at all levels, with or without pages of their
+own, so that sibling subdomains connect; and a page weighs the same as a seed whether it is
+allowed or blocked. ``OP3_SQL`` has neither: there only a parent domain with pages counts,
+and each kind of seed is divided by its own total. ``op3_url_filter`` equals that SQL,
+``op3_url_filter_domains`` is the whole method.
+
 DataFrame functions only. Edges are host pairs with counts, aggregated before the
 shuffle; each step is one join and one aggregate over the edges, and the scores are
 written to the shared folder every few steps to cut the lineage.
@@ -15,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.tables import table
@@ -50,14 +56,23 @@ def judge(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Col
     return rule, verdict
 
 
-def host_edges(judged: DataFrame, html: DataFrame | None = None) -> DataFrame:
+def host_edges(judged: DataFrame, html: DataFrame | None = None, domains: bool = True) -> DataFrame:
     """``(src, dst, n)``: links between different hosts, and between a host and its parent domain.
 
-    A subdomain and its parent domain, where both have pages, count as linking each other.
+    A subdomain and its parent domain count as linking each other, up to the domain of two
+    labels; addresses have no parents. Without ``domains`` only a host and its immediate
+    parent count, where both have pages.
     """
     hosts = judged.select("host").where("host != ''").distinct()
-    parent = F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)
-    up = hosts.select("host", parent.alias("parent")).join(hosts.withColumnRenamed("host", "parent"), "parent")
+    if domains:
+        labels = F.split("host", r"\.")
+        suffix = lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+        levels = F.transform(F.sequence(F.lit(1), F.size(labels) - 2), lambda i: F.struct(suffix(i).alias("host"), suffix(i + 1).alias("parent")))
+        named = hosts.where((F.size(labels) > 2) & ~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$"))
+        up = named.select(F.explode(levels).alias("u")).select("u.host", "u.parent").distinct()
+    else:
+        parent = F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)
+        up = hosts.select("host", parent.alias("parent")).join(hosts.withColumnRenamed("host", "parent"), "parent")
     edges = up.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1).cast("long").alias("n"))
     edges = edges.unionByName(up.select(F.col("parent").alias("src"), F.col("host").alias("dst"), F.lit(1).cast("long").alias("n")))
     if html is not None:
@@ -67,15 +82,19 @@ def host_edges(judged: DataFrame, html: DataFrame | None = None) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(judged: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
+def propagate(judged: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS, one_total: bool = True) -> DataFrame:
     """``(host, trust, distrust)`` for hosts that either reaches.
 
-    ``judged`` has ``host`` and the ``ruled`` verdict of each page. Each of the two scores
-    starts with mass 1 in proportion to the pages that rules allow, or block, on a host.
+    ``judged`` has ``host`` and the ``ruled`` verdict of each page. The two scores start in
+    proportion to the pages that rules allow, or block, on a host, with mass 1 together; so
+    a comparison of the two does not depend on how many pages of each kind there are
+    elsewhere. Without ``one_total`` each of them starts with mass 1.
     """
     says = F.when(F.col("ruled") == "allow", "trust").when(F.col("ruled") == "block", "distrust")
     pages = judged.where("ruled is not null and host != ''").groupBy("host", says.alias("kind")).agg(F.count("*").alias("n"))
     totals = pages.groupBy("kind").agg(F.sum("n").alias("total"))
+    if one_total:
+        totals = totals.select("kind", F.sum("total").over(Window.partitionBy()).alias("total"))  # two rows
     seeds = materialize(pages.join(F.broadcast(totals), "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("seed")), "seeds")  # totals: two rows
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("n")))
     out = both.groupBy("kind", "src").agg(F.sum("n").alias("out"))
@@ -92,19 +111,20 @@ def propagate(judged: DataFrame, edges: DataFrame, damping: float = DAMPING, ste
     return score.groupBy("host").agg(one("trust"), one("distrust"))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", threshold: float = THRESHOLD) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", threshold: float = THRESHOLD, domains: bool = True, one_total: bool = True) -> DataFrame:
     """``(id_col, host, path, rule, verdict, trust, distrust)`` for every page.
 
     Pages that no rule fits take their host's verdict: ``block`` where distrust is more than
     ``threshold`` of trust and distrust together, else ``allow`` (also where neither arrives,
     and for URLs that are null or without ``://``, whose host and path are empty). Repeated
-    rows give repeated results and count as often as seeds.
+    rows give repeated results and count as often as seeds. ``domains`` and ``one_total`` are
+    those of ``host_edges`` and ``propagate``.
     """
     parts = pages.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     rule, verdict = judge(F.col("host"), F.col("path"), rules)
     judged = materialize(parts.withColumn("rule", rule).withColumn("ruled", verdict), "judged")
     html = pages.select(url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")) if html_col else None
-    hosts = materialize(propagate(judged, materialize(host_edges(judged, html), "hosts")), "scores")
+    hosts = materialize(propagate(judged, materialize(host_edges(judged, html, domains), "hosts"), one_total=one_total), "scores")
     # One host may have a third of all pages: its row is copied to as many parts as its pages are dealt to.
     salts = 16
     spread = judged.withColumn("_salt", F.pmod(F.xxhash64(id_col, "path"), F.lit(salts)))
@@ -116,6 +136,11 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``OP3_SQL`` has it: on pages without links between hosts a host keeps its own seeds only."""
+    return filter_urls(table(spark, sf_dir, "pages"), domains=False, one_total=False).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_url_filter_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
