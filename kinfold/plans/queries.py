@@ -300,11 +300,45 @@ def structural_gates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resolve_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """New records against the core: the identity of the best automatic match, or a new one."""
-    found = matchpath_resolution(spark, sf)
-    members = _members(spark, sf)
-    core = found.join(members, F.col("candidate") == members["record_key"], "left").select(found["record_key"], "decision", "match_score", "cluster")
-    return core.select("record_key", F.when(F.col("decision") == "auto_match", "matched").otherwise("created").alias("outcome"), F.when(F.col("decision") == "auto_match", F.col("cluster")).alias("patient_global_id"), "match_score")
+    """New records (vendor C's) against the core: the identity of the best automatic match, or a new one."""
+    first = "source_vendor != 'VENDOR_C'"
+    core = materialize(_records(spark, sf).where(first), "core")
+    none = spark.createDataFrame([], "record_key string, patient_global_id string, first_seen_run string, last_seen_run string")
+    known = materialize(identity.crosswalk(_members(spark, sf, first), none, "run1", FIRST_RUN)[0], "known")
+    batch = _records(spark, sf).where(f"not ({first})").withColumn("record_key", F.concat(F.lit("PHARMACY:"), F.col("source_record_id")))
+    return resolve(materialize(batch, "batch"), core, known)
+
+
+def resolve(batch: DataFrame, core: DataFrame, known: DataFrame) -> DataFrame:
+    """``(record_key, outcome, patient_global_id, match_score)``: one row for every record of ``batch``.
+
+    Candidates are the core records that share any of the four blocking keys, however many.
+    The best automatic match (of equal scores the smallest key) gives its identity in the
+    crosswalk ``known``; a record without one, also one without candidates (whose
+    ``match_score`` is null), gets an id of its own after the last of ``known``.
+    """
+    # Records equal in all that is compared share candidates and scores: one of each stands for them.
+    profile = F.to_json(F.struct(*FIELDS)).alias("profile")
+    mine, theirs = [materialize(r.groupBy(profile).agg(F.min("record_key").alias("rep")), "profiles") for r in (batch, core)]
+    news, olds = [materialize(r.join(p, r["record_key"] == p["rep"], "left_semi"), "reps") for r, p in ((batch, mine), (core, theirs))]
+    keys, core_keys = materialize(matching.block_keys(news), "keys"), materialize(matching.block_keys(olds), "keys")
+    # A block of many core records is dealt to parts; each of the batch's records goes to all of its block's parts.
+    on = ["blocking_pass", "block_key"]
+    parts = matching.block_stats(core_keys).select(*on, F.ceil(F.col("record_count") / matching.MAX_BLOCK).alias("parts"))
+    there = core_keys.join(parts, on).select(*on, F.col("record_key").alias("record_key_b"), F.pmod(F.xxhash64("record_key"), F.col("parts")).alias("part"))
+    here = keys.join(parts, on).select(*on, F.col("record_key").alias("record_key_a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    scored = matching.score_pairs(here.join(there, [*on, "part"]), news, olds)
+    best = scored.groupBy("record_key_a").agg(F.min(F.struct((-F.round("score", 4)).alias("less"), F.col("record_key_b").alias("candidate"), F.col("score"))).alias("best"))
+    found = mine.join(best, mine["rep"] == best["record_key_a"]).select("profile", "best.candidate", "best.score")
+    every = batch.select("record_key", profile).join(found, "profile", "left")
+    matched = matching.decide(F.col("score")) == "auto_match"
+    every = materialize(every.select("record_key", F.round("score", 4).alias("match_score"), F.when(matched, F.col("candidate")).alias("match")), "matches")
+    last = known.agg(F.max(F.substring("patient_global_id", 5, 20).cast("long")).alias("n")).first()["n"]
+    new = every.where("match is null").select("record_key", F.col("record_key").alias("cluster"))
+    minted = identity.crosswalk(new, known.limit(0), "batch", FIRST_RUN if last is None else last + 1)[0]
+    created = every.where("match is null").join(minted, "record_key").select("record_key", F.lit("created").alias("outcome"), "patient_global_id", "match_score")
+    ids = known.select(F.col("record_key").alias("match"), "patient_global_id")
+    return every.join(ids, "match").select("record_key", F.lit("matched").alias("outcome"), "patient_global_id", "match_score").unionByName(created)
 
 
 QUERIES: dict[str, Query] = {
