@@ -8,12 +8,19 @@ all values of the format, so equal values get equal pseudonyms everywhere, diffe
 different ones, and separators stay. Cards keep a valid check digit, dates stay dates,
 addresses stay addresses.
 
+A card number is any 13 to 19 digits with a valid check digit that start and end at a
+border of a digit group, whatever other groups stand before or after; of overlapping ones
+the longest, then the first, is taken. Dates with slashes are read day first, and month
+first where they are no date otherwise.
+
 DataFrame functions only; no shuffle and no join: a value's pseudonym depends on nothing
 but the key and the value.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +31,6 @@ KEY = "corpus"
 #: Days from 1900-01-01 whose dates are permuted: 250 * 292, up to 2099-11-13.
 DAYS = (250, 292)
 
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
@@ -32,7 +38,11 @@ PHONE = r"(?:(?<![0-9])\+[1-9][0-9]{0,2}[ .-]?)?(?<![0-9(])(?:\([0-9]{3}\)[ .-]?
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 SECRET = r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 #: Fixed order: the first kind that fits at a place is taken.
-KINDS = {"email": EMAIL, "secret": SECRET, "date": ISO_DATE, "day_first": r"(?<![0-9./])(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/])", "ipv4": IPV4, "ssn": SSN, "phone": PHONE, "card": CARD}
+KINDS = {"email": EMAIL, "secret": SECRET, "date": ISO_DATE, "day_first": r"(?<![0-9./])(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/])", "ipv4": IPV4, "ssn": SSN, "phone": PHONE}
+#: A whole run of digit groups with single blanks or hyphens between; it ends before a value of another kind. Possessive, so that long runs need no stack.
+KINDS["card"] = r"(?<![0-9])[0-9](?:[0-9]|[ -](?!" + "|".join(KINDS.values()) + r")[0-9]){12,}+"
+#: Digits of a card number.
+CARD_DIGITS = (13, 19)
 ANY = "|".join(KINDS.values())
 
 
@@ -86,19 +96,72 @@ def _luhn_sum(digits: Column, doubled: int) -> Column:
     )
 
 
-def _card(value: Column, key: Column) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    body = _digits(F.substring(digits, F.lit(1), F.length(digits) - 1), F.concat(key, F.lit("c")))
-    check = F.pmod(10 - F.pmod(_luhn_sum(body, 0), F.lit(10)), F.lit(10)).cast("string")
-    return F.when(F.pmod(_luhn_sum(digits, 1), F.lit(10)) == 0, _refill(value, F.concat(body, check), "[0-9]")).otherwise(value)
+def _with_groups(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of the value's digit groups, which are split once only."""
+    return F.element_at(F.transform(F.array(F.split(value, "[ -]")), f), 1)
 
 
-def _date(value: Column, key: Column, pattern: str) -> Column:
-    days = F.datediff(F.try_to_date(value, pattern), F.lit("1900-01-01").cast("date"))
+def _card_windows(value: Column) -> Column:
+    """The card numbers of a run of digit groups: an array of ``(at, n)``, first group (from 0) and number of groups, in order."""
+    least, most = CARD_DIGITS
+
+    def windows(groups: Column) -> Column:
+        at = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size(groups) - i)), lambda n: F.struct(i.alias("at"), n.alias("n"), F.array_join(F.slice(groups, i + 1, n), "").alias("digits")))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), at))
+
+    every = _with_groups(value, windows)
+    sized = F.filter(every, lambda w: F.length(w["digits"]).between(least, most))
+    valid = F.filter(sized, lambda w: F.pmod(_luhn_sum(w["digits"], 1), F.lit(10)) == 0)
+    ranked = F.array_sort(F.transform(valid, lambda w: F.struct((-F.length(w["digits"])).alias("less"), w["at"].alias("at"), w["n"].alias("n"))))
+    none = F.array().cast("array<struct<at:int,n:int>>")
+
+    def add(taken: Column, w: Column) -> Column:
+        clash = F.exists(taken, lambda t: (w["at"] < t["at"] + t["n"]) & (t["at"] < w["at"] + w["n"]))
+        return F.when(clash, taken).otherwise(F.concat(taken, F.array(F.struct(w["at"].alias("at"), w["n"].alias("n")))))
+
+    run = (F.length(value) >= least) & value.rlike(r"^[0-9]+(?:[ -][0-9]+)*+$")
+    return F.when(run, F.array_sort(F.aggregate(ranked, none, add))).otherwise(none)
+
+
+def _cards(value: Column, windows: Column, key: Column) -> Column:
+    """A run of digit groups with the cards at ``windows`` replaced."""
+
+    def card(digits: Column) -> Column:
+        body = _digits(F.substring(digits, F.lit(1), F.length(digits) - 1), F.concat(key, F.lit("c")))
+        return F.concat(body, F.pmod(10 - F.pmod(_luhn_sum(body, 0), F.lit(10)), F.lit(10)).cast("string"))
+
+    def weave(groups: Column) -> Column:
+        part = lambda at, n: F.array_join(F.slice(groups, at + 1, n), "")
+        step = lambda done, w: F.struct(F.concat(done["out"], part(done["at"], w["at"] - done["at"]), card(part(w["at"], w["n"]))).alias("out"), (w["at"] + w["n"]).alias("at"))
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+        return F.aggregate(windows, start, step, lambda done: F.concat(done["out"], part(done["at"], F.size(groups))))
+
+    return F.when(F.size(windows) > 0, _refill(value, _with_groups(value, weave), "[0-9]")).otherwise(value)
+
+
+EPOCH = "1900-01-01"
+
+
+def _day(days: Column, key: Column) -> Column:
+    """A day of the permuted range, permuted."""
     a, b = DAYS
-    pair = feistel(F.floor(days / b), F.pmod(days, F.lit(b)), F.lit(a), F.lit(b), F.concat(key, F.lit("t")))
-    there = F.date_add(F.lit("1900-01-01").cast("date"), (pair["l"] * b + pair["r"]).cast("int"))
-    return F.when((days >= 0) & (days < a * b), F.date_format(there, pattern)).otherwise(value)
+    pair = feistel(F.floor(days / b), F.pmod(days, F.lit(b)), F.lit(a), F.lit(b), key)
+    return (pair["l"] * b + pair["r"]).cast("int")
+
+
+def _date(value: Column, key: Column, pattern: str) -> Column:
+    days = F.datediff(F.try_to_date(value, pattern), F.lit(EPOCH).cast("date"))
+    there = F.date_add(F.lit(EPOCH).cast("date"), _day(days, F.concat(key, F.lit("t"))))
+    return F.when((days >= 0) & (days < DAYS[0] * DAYS[1]), F.date_format(there, pattern)).otherwise(value)
+
+
+def _month_first(value: Column, key: Column) -> Column:
+    """A date that is none day first. Its pseudonym is none either: the permutation is repeated until the day is above 12, so that it is nobody else's."""
+    date = lambda days: F.date_add(F.lit(EPOCH).cast("date"), days)
+    days = F.datediff(F.try_to_date(value, "MM/dd/yyyy"), F.lit(EPOCH).cast("date"))
+    k = F.concat(key, F.lit("u"))
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(64)), _day(days, k), lambda d, _: F.when(F.dayofmonth(date(d)) <= 12, _day(d, k)).otherwise(d))
+    return F.when((days >= 0) & (days < DAYS[0] * DAYS[1]), F.date_format(date(walk), "MM/dd/yyyy")).otherwise(value)
 
 
 def _ipv4(value: Column, key: Column) -> Column:
@@ -156,20 +219,24 @@ def _email(value: Column, key: Column) -> Column:
     return F.concat(_refill(local, fresh, "[0-9a-z]"), F.lit("@"), F.substring_index(value, "@", -1))
 
 
-def pseudonym(value: Column, key: str = KEY) -> Column:
-    """The pseudonym of one value that ``ANY`` matched; a value that fails its validation stays."""
+def pseudonym(value: Column, key: str = KEY, windows: Column | None = None) -> Column:
+    """The pseudonym of one value that ``ANY`` matched; a value that fails its validation stays.
+
+    ``windows``: the value's ``_card_windows``, where they are known.
+    """
     k = F.lit(key)
+    us = F.try_to_date(value, "dd/MM/yyyy").isNull()
     whole = lambda kind: value.rlike(f"^(?:{KINDS[kind]})$")
     return (
         F.when(whole("email"), _email(value, k))
         .when(whole("secret"), _hex(value, k))
         .when(whole("date"), _date(value, k, "yyyy-MM-dd"))
-        .when(whole("day_first") & value.contains("/"), _date(value, k, "dd/MM/yyyy"))
+        .when(whole("day_first") & value.contains("/"), F.when(us, _month_first(value, k)).otherwise(_date(value, k, "dd/MM/yyyy")))
         .when(whole("day_first"), _date(value, k, "dd.MM.yyyy"))
         .when(whole("ipv4"), _ipv4(value, k))
         .when(whole("ssn"), _number(value, k, "s"))
         .when(whole("phone"), _number(value, k, "p"))
-        .otherwise(_card(value, k))
+        .otherwise(_cards(value, _card_windows(value) if windows is None else windows, k))
     )
 
 
@@ -182,13 +249,14 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY) -> Dat
     text = F.col(text_col)
     found = F.when(text.rlike(ANY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     split = docs.drop("n_replaced").withColumn("_found", found)
-    changed = F.transform("_found", lambda v: F.struct(v.alias("old"), pseudonym(v, key).alias("new")))
+    cut = F.transform("_found", lambda v: F.struct(v.alias("old"), _card_windows(v).alias("cards")))
+    changed = F.transform(cut, lambda v: F.struct(v["old"].alias("old"), F.size(v["cards"]).alias("cards"), pseudonym(v["old"], key, v["cards"]).alias("new")))
     split = split.withColumn("_new", F.when(F.col("_found").isNotNull(), changed))
     woven = F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), "_new", lambda a, b: F.array(a, F.coalesce(b["new"], F.lit(""))))), "")
-    valid = F.filter("_new", lambda v: v["old"] != v["new"])
+    replaced = F.aggregate("_new", F.lit(0), lambda n, v: n + F.greatest(v["cards"], (v["old"] != v["new"]).cast("int")))
     return split.select(
         *[F.when(F.col("_new").isNull(), text).otherwise(woven).alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "n_replaced"],
-        F.coalesce(F.size(valid), F.lit(0)).alias("n_replaced"),
+        F.coalesce(replaced, F.lit(0)).alias("n_replaced"),
     )
 
 

@@ -1,6 +1,6 @@
 """Cases that the operators once left out."""
 
-from kinfold.llm import url_filter
+from kinfold.llm import pseudonyms, url_filter
 
 
 def test_url_seeds_of_both_kinds_weigh_the_same_and_siblings_connect(spark):
@@ -11,3 +11,30 @@ def test_url_seeds_of_both_kinds_weigh_the_same_and_siblings_connect(spark):
     assert got == {"a.x.org/new": "allow", "new.p.com/": "block", "deep.er.new.p.com/": "block", "q.com/": "allow", "1.2.3.4/": "allow"}
     old = {r.host + r.path: r.verdict for r in url_filter.filter_urls(pages, rules, domains=False, one_total=False).where("rule is null").collect()}
     assert old == {"a.x.org/new": "block", "new.p.com/": "allow", "deep.er.new.p.com/": "allow", "q.com/": "allow", "1.2.3.4/": "allow"}
+
+
+def _luhn(text):
+    digits = [int(c) for c in text if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else (2 * d - 9 * (d > 4)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_cards_beside_other_digits_and_dates_month_first(spark):
+    card, spaced, other = "4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004"
+    texts = [card, f"{card} 12/27", f"{spaced} 123", f"7 {card}", f"{spaced} {other}", f"{card} 536-22-1234", f"{card} 12/25/1990", f"{card} 8.8.8.8", "12/25/1990", "25/12/1990", "31/31/1990", "4111111111111112 12/27", "1" * 25, "12 " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonyms.pseudonymize(df).collect()}
+    new = [got[i].text for i in range(len(texts))]
+    assert all(len(a) == len(b) for a, b in zip(texts[:7], new, strict=False))
+    alone = new[0]
+    assert alone != card and _luhn(alone) and new[1] == f"{alone} 12/27" and new[3] == f"7 {alone}"
+    assert new[2].replace(" ", "") == alone + "123" and new[4][:19].replace(" ", "") == alone and new[4][20:] != other and _luhn(new[4][20:])
+    assert [new[i][:17] == alone + " " for i in (5, 6, 7)] == [True] * 3 and all(new[i][17:] != texts[i][17:] for i in (5, 6, 7))
+    assert new[6][17:] == new[8] != texts[8] and int(new[8][:2]) <= 12 < int(new[8][3:5]) and new[9] != texts[9]
+    assert new[10:13] == texts[10:13]
+    assert [got[i].n_replaced for i in range(13)] == [1, 1, 1, 1, 2, 2, 2, 2, 1, 1, 0, 0, 0]
+
+
+def test_month_first_pseudonyms_differ_from_each_other_and_from_day_first_ones(spark):
+    df = spark.sql("select date_format(date_add(date '1980-01-01', cast(id as int)), p) as text from range(1500), values ('MM/dd/yyyy'), ('dd/MM/yyyy') t(p)").distinct()
+    out = pseudonyms.pseudonymize(df)
+    assert out.select("text").distinct().count() == df.count() and out.where("n_replaced = 0").count() == 0
