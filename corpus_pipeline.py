@@ -32,9 +32,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = materialize(mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("_mixed"), "copies"), "copies").hint("merge")  # the same plan at every size
-    repeated = docs.join(copies, F.col("doc_id") == F.col("_mixed"))
+    """Each row as often as the mix takes it, also where ids are null or repeated."""
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # written, so that numbers stay
+    copies = materialize(mixing.mix(rows, row_col="_row").where("copies > 0").select(F.col("_row").alias("_mixed"), "copies"), "copies").hint("merge")  # the same plan at every size
+    repeated = rows.join(copies, F.col("_row") == F.col("_mixed"))
     return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 

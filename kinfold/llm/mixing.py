@@ -87,8 +87,8 @@ def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str)
     return joined.select(*df.columns, (F.col("_ahead") + F.col("_within")).alias("_running"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES, seed: str = "mix") -> DataFrame:
-    """``(id_col, size, source_size, target, copies, taken)`` for every row of ``docs``.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES, seed: str = "mix", row_col: str | None = None) -> DataFrame:
+    """``(id_col, size, source_size, target, copies, taken)`` for every row of ``docs``, and ``row_col`` as it is.
 
     ``copies`` is how often the mix holds the document (0 to ``max_copies``), ``taken`` its
     words times copies. Null and empty texts have size 0, are allocated whole copies only
@@ -96,7 +96,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the same random number; the word count and a hash of the text break ties, so reruns agree.
     An empty table gives an empty table.
     """
-    sized = docs.select(F.col(id_col), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("size"), F.md5(F.col(text_col)).alias("_digest"))
+    sized = docs.select(F.col(id_col), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("size"), F.md5(F.col(text_col)).alias("_digest"), *([row_col] if row_col else []))
     sized = materialize(sized, "sizes")
     sources = sized.groupBy("_source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sources, weights, share, max_copies), "targets")
@@ -112,7 +112,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     chosen = (F.col("_running") - wanted <= 0) | ((F.col("_running") - F.col("size") < wanted) & (F.col("_running") - wanted <= wanted - (F.col("_running") - F.col("size"))))
     sampled = ranked.withColumn("copies", F.col("_sure") + chosen.cast("long"))
     sure = joined.where(~((F.col("_p") > 0) & (F.col("size") > 0))).withColumn("copies", F.col("_sure"))
-    out = [F.col(id_col), "size", "source_size", "target", F.col("copies").cast("int"), (F.col("size") * F.col("copies")).alias("taken")]
+    out = [F.col(id_col), "size", "source_size", "target", F.col("copies").cast("int"), (F.col("size") * F.col("copies")).alias("taken"), *([row_col] if row_col else [])]
     return sampled.select(*out).unionByName(sure.select(*out))
 
 

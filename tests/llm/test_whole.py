@@ -1,6 +1,9 @@
 """Cases that the operators once left out."""
 
-from kinfold.llm import pseudonyms, url_filter
+from collections import Counter
+
+import corpus_pipeline
+from kinfold.llm import mixing, pseudonyms, url_filter
 
 
 def test_url_seeds_of_both_kinds_weigh_the_same_and_siblings_connect(spark):
@@ -38,3 +41,18 @@ def test_month_first_pseudonyms_differ_from_each_other_and_from_day_first_ones(s
     df = spark.sql("select date_format(date_add(date '1980-01-01', cast(id as int)), p) as text from range(1500), values ('MM/dd/yyyy'), ('dd/MM/yyyy') t(p)").distinct()
     out = pseudonyms.pseudonymize(df)
     assert out.select("text").distinct().count() == df.count() and out.where("n_replaced = 0").count() == 0
+
+
+def test_mix_sources_keeps_rows_with_null_and_repeated_ids(spark):
+    rows = [(None if i % 5 == 0 else i // 4, f"w{i // 2 if i % 8 < 2 else i} " * (1 + i % 7), "en", f"s{i % 3}", 0) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda r: (r.doc_id, r.size, r.source_size)
+    want = Counter()
+    for r in mixing.mix(docs).collect():
+        want[key(r)] += r.copies
+    total = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in ("s0", "s1", "s2")}
+    out = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    got = Counter((r.doc_id, len(r.text.split()), total[r.source]) for r in out)
+    assert got == +want and any(r.doc_id is None for r in out)
+    most = Counter(rows)
+    assert all(n <= 2 * most[tuple(r)] for r, n in Counter(out).items())
