@@ -30,22 +30,27 @@ def session(app: str = "kinfold", master: str | None = None, **conf: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset (local
-    tests, where driver and executors are one process) a temporary folder is made.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset and the master is
+    local (driver and executors are one process) a temporary folder is made; on a cluster it
+    is an error, as executors would write to disks of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = "file://" + tempfile.mkdtemp(prefix="kinfold-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder, removed when the driver exits."""
+def fresh_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new path below the shared folder, removed when the driver exits unless ``keep``."""
     path = f"{shared_dir(spark)}/kinfold-{label}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    if not keep:
+        _written.append((spark, path))
     return path
 
 
@@ -57,7 +62,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kinfold_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``tables``, once nothing will read them any more."""
+    for table in tables:
+        path = table.__dict__.pop("_kinfold_path", None)
+        if path is not None:
+            discard(table.sparkSession, path)
+            _written.remove((table.sparkSession, path))
 
 
 def discard(spark: SparkSession, path: str) -> None:
