@@ -1,15 +1,20 @@
 """Line deduplication by overlapping three-line windows.
 
-Every run of ``width`` consecutive lines of a document is hashed (128 bits). A window
-that occurs more than once in the corpus is kept where it occurs first - in order of
-document id, text hash and line number - and each later occurrence marks its lines as
-covered. Covered positions of overlapping windows are merged, and covered lines removed.
+Lines are what line feeds, and the ends of sentences within them, separate. Every run of
+``width`` consecutive lines of a document is hashed (128 bits). A window that occurs more
+than once in the corpus is kept where it occurs first - in order of document id, text hash
+and line number - and each later occurrence marks its lines as covered. Covered positions
+of overlapping windows are merged to stretches, and stretches of ``min_words`` words, or of
+``width`` whole physical lines, are removed. So a passage that starts and ends within
+physical lines is found too, and short phrases that recur in clean documents stay.
 
 Scale: only hashes and positions are shuffled, and they are reduced to one row a window
 before the shuffle, so a passage that a third of all documents share costs one row a
 task; the join back against the repeated windows is an ordinary sort-merge join, which
-adaptive execution splits where one window is hot. Texts move once, for the join with
-what is to be removed, and only those of documents that lose lines.
+adaptive execution splits where one window is hot. What is to be removed is broadcast to
+the documents where it is proven to be small (``BROADCAST_BYTES``); beyond that all texts
+move once, for a sort-merge join with it. Either way the rows are the same. Within a
+document everything is linear in its lines.
 """
 
 from __future__ import annotations
@@ -17,77 +22,110 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.tables import table
+from kinfold.llm.tables import free, table
 from kinfold.session import materialize
 
 WIDTH = 3
+#: Words from which a covered stretch is removed even if it holds no ``width`` whole lines.
+MIN_WORDS = 30
+WORD = r"[^\x20\x09-\x0D]+"
+#: Behind what a line ends: a line feed, or a sentence's last mark and the blank after it.
+LINE_END = "([.!?] |\n)"
+#: A character for private use; where a text holds it, it separates lines as well, and goes with a cut.
+MARK = "\ue000"
+#: Most bytes (estimated) of removals that are broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
-def _split(text: Column) -> Column:
-    return F.split(text, "\n")
+def lines_of(text: Column) -> Column:
+    """The lines of a text with what ends them: joined, they are the text again."""
+    return F.split(F.regexp_replace(text, LINE_END, f"$1{MARK}"), MARK)
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
-    """A document's key: rows equal in id and text are one document."""
-    return [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_t1"), F.xxhash64(F.lit(7), text_col).alias("_t2")]
+    """A document's key: rows equal in id and text are one document. Null ids have a second hash."""
+    return [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_t1"), F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(7), text_col)).otherwise(0).alias("_t2")]
 
 
 def repeated_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """First lines of the windows to remove: ``(_id, _t1, _t2, starts)``, one row a document.
+    """First lines of the windows that occurred before: ``(_id, _t1, _t2, starts)``, one row a document.
 
     ``starts`` is a set of 0-based line numbers, no longer than the document.
     """
-    once = docs.select(*_key(id_col, text_col), _split(F.col(text_col)).alias("_lines")).where(F.size("_lines") >= width)
+    once = docs.select(*_key(id_col, text_col), lines_of(F.col(text_col)).alias("_lines")).where(F.size("_lines") >= width)
     # Each line is hashed once; a window hashes the hashes of its lines.
-    hashed = once.select(
-        "_id", "_t1", "_t2",
-        F.transform("_lines", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(11), x).alias("b"))).alias("_h"),
-    )
-    windows = hashed.select(
-        "_id", "_t1", "_t2",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("_h") - (width - 1)),
-                lambda i: F.struct(
-                    F.xxhash64(*[F.element_at("_h", (i + k).cast("int"))["a"] for k in range(width)]).alias("a"),
-                    F.xxhash64(F.lit(13), *[F.element_at("_h", (i + k).cast("int"))["b"] for k in range(width)]).alias("b"),
-                ),
-            )
-        ).alias("_at", "_w"),
-    ).select("_id", "_t1", "_t2", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
+    bare = lambda x: F.trim(x, F.lit(" \n"))
+    hashed = once.select("_id", "_t1", "_t2", F.transform("_lines", lambda x: F.struct(F.xxhash64(bare(x)).alias("a"), F.xxhash64(F.lit(11), bare(x)).alias("b"))).alias("_h"))
+    of = lambda i, part: [F.element_at("_h", (i + k).cast("int"))[part] for k in range(width)]
+    window = F.transform(F.sequence(F.lit(1), F.size("_h") - (width - 1)), lambda i: F.struct(F.xxhash64(*of(i, "a")).alias("a"), F.xxhash64(F.lit(13), *of(i, "b")).alias("b")))
+    windows = hashed.select("_id", "_t1", "_t2", F.posexplode(window).alias("_at", "_w")).select("_id", "_t1", "_t2", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
     place = F.struct(F.col("_id").isNotNull().alias("known"), "_id", "_t1", "_t2", "_at")
     first = windows.groupBy("_a", "_b").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
     later = windows.join(first.drop("_last"), ["_a", "_b"]).where(place != F.col("_first"))
     return later.groupBy("_id", "_t1", "_t2").agg(F.collect_set("_at").alias("starts"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def _bind(value: Column, f) -> Column:
+    """``f`` of ``value``, which is evaluated once only."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _removed(lines: Column, starts: Column, width: int, min_words: int) -> Column:
+    """The line numbers to remove: covered stretches that are long enough. Linear in ``lines``."""
+    gap = lambda at, before: F.get(at, before + 1) - F.get(at, before) > width
+
+    def stretches(at: Column) -> Column:
+        begins = F.filter(at, lambda s, k: (k == 0) | gap(at, k - 1))
+        ends = F.filter(at, lambda s, k: (k == F.size(at) - 1) | gap(at, k))
+        return F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("b"), (e + (width - 1)).alias("e")))
+
+    def long(s: Column) -> Column:
+        part = F.slice(lines, s["b"] + 1, s["e"] - s["b"] + 1)
+        words = F.aggregate(part, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(WORD)))
+        ended = F.size(F.filter(part, lambda x: x.endswith("\n"))) + (s["e"] == F.size(lines) - 1).cast("int")
+        inside = ((s["b"] > 0) & ~F.get(lines, s["b"] - 1).endswith("\n")).cast("int")
+        return (words >= min_words) | (ended - inside >= width)
+
+    kept = F.filter(_bind(F.array_sort(starts), stretches), long)
+    return F.flatten(F.transform(kept, lambda s: F.sequence(s["b"], s["e"])))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated passages cut from the text; adds ``n_lines`` and ``removed_lines``.
 
-    Lines are what line feeds separate, compared as they are. A passage of ``width`` or more
-    consecutive lines stays where it occurs first and is removed everywhere else, also within
-    one document. Null and empty texts and texts of fewer than ``width`` lines stay as they
-    are (null: ``n_lines`` 0). Rows with equal id and text are one document: they do not
+    Lines (``lines_of``) are compared without blanks and line feeds at their ends. A passage
+    of ``width`` or more consecutive lines stays where it occurs first and is removed
+    everywhere else, also within one document, if it has ``min_words`` words or ``width``
+    whole physical lines. Null and empty texts and texts of fewer than ``width`` lines stay as
+    they are (null: ``n_lines`` 0). Rows with equal id and text are one document: they do not
     count as repetitions of each other, and get the same result. A null id sorts first.
+    Other columns of any name stay; columns named like the added ones are replaced.
     """
-    # Always a sort-merge join: the plan is the same at every size.
-    starts = materialize(repeated_positions(docs, id_col, text_col, width), "repeats").hint("merge")
-    names = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]  # columns of these names are replaced
-    keyed = docs.withColumns({f"_k{i}": c for i, c in enumerate(_key(id_col, text_col))})
-    joined = keyed.join(
-        starts.withColumnRenamed("_id", "_s0").withColumnRenamed("_t1", "_s1").withColumnRenamed("_t2", "_s2").withColumnRenamed("starts", "_starts"),
-        F.col("_k0").eqNullSafe(F.col("_s0")) & (F.col("_k1") == F.col("_s1")) & (F.col("_k2") == F.col("_s2")),
-        "left",
-    )
-    lines = F.transform(_split(F.col(text_col)), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    covered = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + (width - 1)))))
-    numbers = F.map_from_arrays(covered, covered)
-    cut = F.array_join(F.transform(F.filter(lines, lambda e: ~F.map_contains_key("_covered", e["i"])), lambda e: e["x"]), "\n")
-    joined = joined.withColumn("_covered", F.when(F.col("_starts").isNotNull(), numbers))
-    return joined.select(
-        *[F.when(F.col("_starts").isNull(), F.col(text_col)).otherwise(cut).alias(c) if c == text_col else F.col(c) for c in names],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(_split(F.col(text_col)))).alias("n_lines"),
-        F.coalesce(F.size("_covered"), F.lit(0)).alias("removed_lines"),
+    starts = materialize(repeated_positions(docs, id_col, text_col, width), "repeats")
+    size = starts.agg(F.coalesce(F.sum(64 + 4 * F.size("starts")), F.lit(0))).first()[0]
+    starts = F.broadcast(starts) if size <= BROADCAST_BYTES else starts.hint("merge")
+    names = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
+    own, k0, k1, k2 = (free(c, docs.columns) for c in ("own", "k0", "k1", "k2"))
+    keyed = docs.withColumns(dict(zip((k0, k1, k2), _key(id_col, text_col), strict=True)))
+    of = starts.select(F.struct("*").alias(own))
+    joined = keyed.join(of, F.col(k0).eqNullSafe(F.col(own)["_id"]) & (F.col(k1) == F.col(own)["_t1"]) & (F.col(k2) == F.col(own)["_t2"]), "left")
+
+    def cut(lines: Column) -> Column:
+        gone = _removed(lines, F.col(own)["starts"], width, min_words)
+
+        def left(at: Column) -> Column:
+            kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at), lambda i: F.get(lines, i))
+            return F.struct(F.when(F.size(at) > 0, F.array_join(kept, "")).alias("text"), F.size(lines).alias("n"), F.size(at).alias("gone"))
+
+        return _bind(gone, left)
+
+    text, none = F.col(text_col), F.lit(0)
+    done = F.when(F.col(own).isNotNull(), _bind(lines_of(text), cut)).otherwise(F.struct(F.lit(None).cast("string").alias("text"), F.size(lines_of(text)).alias("n"), none.alias("gone")))
+    result = joined.withColumn(own, done)
+    return result.select(
+        *[F.coalesce(F.col(own)["text"], text).alias(c) if c == text_col else F.col(c) for c in names],
+        F.when(text.isNull(), 0).otherwise(F.col(own)["n"]).alias("n_lines"),
+        F.col(own)["gone"].alias("removed_lines"),
     )
 
 
@@ -96,22 +134,26 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
-OP9_SQL = """
-WITH lines AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+OP9_SQL = rf"""
+WITH split AS (
+  SELECT doc_id, text, string_split(regexp_replace(text, '([.!?] |\n)', '\1' || chr(57344), 'g'), chr(57344)) AS l FROM documents),
+units AS (SELECT doc_id, len(l) AS n, unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS u FROM split),
 windows AS (
-  SELECT doc_id, i AS start, l[i] || chr(10) || l[i + 1] || chr(10) || l[i + 2] AS w
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM lines WHERE len(l) >= 3)),
-later AS (
-  SELECT doc_id, start FROM (
-    SELECT doc_id, start, row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS FIRST, start) AS n FROM windows)
-  WHERE n > 1),
-covered AS (
-  SELECT doc_id, list(DISTINCT start + k) AS c FROM later, range(3) r(k) GROUP BY doc_id)
-SELECT lines.doc_id,
-  CASE WHEN c IS NULL THEN text
-       ELSE array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(c, i)), lambda i: l[i]), chr(10)) END AS text,
-  CAST(coalesce(len(l), 0) AS INTEGER) AS n_lines,
-  CAST(coalesce(len(c), 0) AS INTEGER) AS removed_lines
-FROM lines LEFT JOIN covered ON lines.doc_id = covered.doc_id
+  SELECT doc_id, pos, trim(l[pos], ' ' || chr(10)) || chr(57344) || trim(l[pos + 1], ' ' || chr(10)) || chr(57344) || trim(l[pos + 2], ' ' || chr(10)) AS w
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS pos FROM split WHERE len(l) >= 3)),
+later AS (SELECT doc_id, pos FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS FIRST, pos) > 1),
+covered AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, range(3) r(k)),
+islands AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM covered),
+stretches AS (
+  SELECT doc_id, island, min(pos) AS b, max(pos) AS e, sum(len(regexp_extract_all(u, '{WORD}'))) AS words, count(*) FILTER (ends_with(u, chr(10)) OR pos = n) AS ended
+  FROM islands JOIN units USING (doc_id, pos) GROUP BY doc_id, island),
+lengthy AS (
+  SELECT s.doc_id, b, e FROM stretches s LEFT JOIN units q ON q.doc_id = s.doc_id AND q.pos = b - 1
+  WHERE words >= {MIN_WORDS} OR ended - (CASE WHEN q.u IS NOT NULL AND NOT ends_with(q.u, chr(10)) THEN 1 ELSE 0 END) >= {WIDTH}),
+gone AS (SELECT doc_id, unnest(range(b, e + 1)) AS pos FROM lengthy),
+cut AS (
+  SELECT doc_id, coalesce(string_agg(u, '' ORDER BY pos) FILTER (g IS NULL), '') AS text, count(g) AS gone
+  FROM (SELECT u.*, g.pos AS g FROM units u LEFT JOIN gone g ON g.doc_id = u.doc_id AND g.pos = u.pos WHERE u.doc_id IN (SELECT doc_id FROM gone)) GROUP BY doc_id)
+SELECT s.doc_id, coalesce(c.text, s.text) AS text, coalesce(len(l), 0)::INTEGER AS n_lines, coalesce(gone, 0)::INTEGER AS removed_lines
+FROM split s LEFT JOIN cut c ON c.doc_id = s.doc_id
 """

@@ -1,9 +1,19 @@
-"""Reading the corpus tables."""
+"""Reading the corpus tables, and names for columns that operators add for a while."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free(name: str, taken: Iterable[str]) -> str:
+    """``_name``, with as many underscores in front as no column of ``taken`` has (in any case of letters)."""
+    used = {c.lower() for c in taken}
+    while (name := f"_{name}").lower() in used:
+        continue
+    return name

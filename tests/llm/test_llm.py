@@ -179,7 +179,7 @@ def test_lines(spark):
     of = {r.doc_id: r for r in got}
     assert len(got) == 10 and of[1].text is None and of[2].text == ""
     assert [r.removed_lines for r in got if r.doc_id == 5] == [0, 0]
-    assert (of[6].text, of[6].removed_lines, of[6].n_lines) == ("zero", 4, 5)
+    assert (of[6].text, of[6].removed_lines, of[6].n_lines) == ("zero\n", 4, 5)
     assert line_windows.dedup_lines(_none(spark)).count() == 0
 
 
