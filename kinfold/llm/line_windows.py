@@ -8,13 +8,14 @@ of overlapping windows are merged to stretches, and stretches of ``min_words`` w
 ``width`` whole physical lines, are removed. So a passage that starts and ends within
 physical lines is found too, and short phrases that recur in clean documents stay.
 
-Scale: only hashes and positions are shuffled, and they are reduced to one row a window
-before the shuffle, so a passage that a third of all documents share costs one row a
-task; the join back against the repeated windows is an ordinary sort-merge join, which
-adaptive execution splits where one window is hot. What is to be removed is broadcast to
-the documents where it is proven to be small (``BROADCAST_BYTES``); beyond that all texts
-move once, for a sort-merge join with it. Either way the rows are the same. Within a
-document everything is linear in its lines.
+Scale: only hashes and positions are shuffled. Counts are reduced to one row a window before
+the shuffle, so a passage that a third of all documents share costs one row a task; only
+windows that occur more than once are written with their places, and joined with their first
+place by an ordinary sort-merge join, which adaptive execution splits where one window is
+hot. The hashes of repeated windows, and what is to be removed, are broadcast where they are
+counted to be small (``BROADCAST_KEYS``, ``BROADCAST_BYTES``); beyond that they are
+sort-merge joined with all windows, or all texts, which move once for it. Either way the
+rows are the same. Within a document everything is linear in its lines.
 """
 
 from __future__ import annotations
@@ -30,16 +31,20 @@ WIDTH = 3
 MIN_WORDS = 30
 WORD = r"[^\x20\x09-\x0D]+"
 #: Behind what a line ends: a line feed, or a sentence's last mark and the blank after it.
-LINE_END = "([.!?] |\n)"
+LINE_ENDS = (". ", "! ", "? ", "\n")
 #: A character for private use; where a text holds it, it separates lines as well, and goes with a cut.
 MARK = "\ue000"
 #: Most bytes (estimated) of removals that are broadcast.
 BROADCAST_BYTES = 64 << 20
+#: Most window hashes (8 bytes each) that are broadcast.
+BROADCAST_KEYS = 2_000_000
 
 
 def lines_of(text: Column) -> Column:
     """The lines of a text with what ends them: joined, they are the text again."""
-    return F.split(F.regexp_replace(text, LINE_END, f"$1{MARK}"), MARK)
+    for end in LINE_ENDS:
+        text = F.replace(text, F.lit(end), F.lit(end + MARK))
+    return F.split(text, MARK)
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
@@ -47,21 +52,30 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_t1"), F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(7), text_col)).otherwise(0).alias("_t2")]
 
 
+def _windows(lines: Column, width: int, *salts: int) -> Column:
+    """An array with a struct for each window, holding a hash of it for each of ``salts``."""
+    bare = lambda x: F.trim(x, F.lit(" \n"))
+    hashes = F.transform(lines, lambda x: F.struct(*[F.xxhash64(F.lit(k), bare(x)).alias(f"h{k}") for k in salts]))
+    of = lambda h, i, k: F.xxhash64(*[F.get(h, i + n)[f"h{k}"] for n in range(width)]).alias(f"h{k}")
+    return _bind(hashes, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.struct(*[of(h, i, k) for k in salts])))
+
+
 def repeated_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """First lines of the windows that occurred before: ``(_id, _t1, _t2, starts)``, one row a document.
 
     ``starts`` is a set of 0-based line numbers, no longer than the document.
     """
     once = docs.select(*_key(id_col, text_col), lines_of(F.col(text_col)).alias("_lines")).where(F.size("_lines") >= width)
-    # Each line is hashed once; a window hashes the hashes of its lines.
-    bare = lambda x: F.trim(x, F.lit(" \n"))
-    hashed = once.select("_id", "_t1", "_t2", F.transform("_lines", lambda x: F.struct(F.xxhash64(bare(x)).alias("a"), F.xxhash64(F.lit(11), bare(x)).alias("b"))).alias("_h"))
-    of = lambda i, part: [F.element_at("_h", (i + k).cast("int"))[part] for k in range(width)]
-    window = F.transform(F.sequence(F.lit(1), F.size("_h") - (width - 1)), lambda i: F.struct(F.xxhash64(*of(i, "a")).alias("a"), F.xxhash64(F.lit(13), *of(i, "b")).alias("b")))
-    windows = hashed.select("_id", "_t1", "_t2", F.posexplode(window).alias("_at", "_w")).select("_id", "_t1", "_t2", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
+    # Half of the hash, counted, rules out most windows; the others are compared by the whole hash.
+    counted = once.select(F.explode(_windows(F.col("_lines"), width, 1)).alias("_w")).groupBy(F.col("_w.h1").alias("_half")).agg(F.count("*").alias("_n"))
+    often = materialize(counted.where("_n > 1").select("_half"), "often")
+    often = F.broadcast(often) if often.count() <= BROADCAST_KEYS else often.hint("merge")
+    windows = once.select("_id", "_t1", "_t2", F.posexplode(_windows(F.col("_lines"), width, 1, 2)).alias("_at", "_w")).select("_id", "_t1", "_t2", "_at", F.col("_w.h1").alias("_a"), F.col("_w.h2").alias("_b"))
+    windows = materialize(windows.join(often, F.col("_a") == F.col("_half")).drop("_half"), "windows")
     place = F.struct(F.col("_id").isNotNull().alias("known"), "_id", "_t1", "_t2", "_at")
     first = windows.groupBy("_a", "_b").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
-    later = windows.join(first.drop("_last"), ["_a", "_b"]).where(place != F.col("_first"))
+    first = materialize(first.drop("_last"), "first").hint("merge")  # a table of its own: a hot window's rows can be split
+    later = windows.join(first, ["_a", "_b"]).where(place != F.col("_first"))
     return later.groupBy("_id", "_t1", "_t2").agg(F.collect_set("_at").alias("starts"))
 
 
