@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.tables import table
+from kinfold.llm.tables import free, table
 
 BUCKETS = 1 << 16
 #: Expected number of labelled rows a language that the model is fitted on.
 TRAIN_ROWS = 1500
+#: Most languages of a model: its size is that many times ``BUCKETS``.
+MAX_LANGS = 200
 SWITCH = 9.0
 CLIP = 6.0
 #: Scores held at once by the exact pass, where a single text does not have more.
@@ -113,12 +115,15 @@ class Model:
         share = scripts / np.maximum(scripts.sum(axis=0), 1)
         self.candidates = share >= 0.01  # script by language
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Per word: scores by language (0 for the best candidate, down to ``-CLIP``), and its text."""
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per word: scores by language (0 for the best candidate, down to ``-CLIP``), its text, and whether it has a candidate.
+
+        A word in a script that no learned language uses scores 0 for all of them.
+        """
         three, four, starts, script, text = _features(texts)
         n = len(text)
         if not n:
-            return np.zeros((0, len(self.langs)), np.float32), text
+            return np.zeros((0, len(self.langs)), np.float32), text, np.zeros(0, bool)
         total = np.empty((n, len(self.langs)), np.float32)
         for k in range(len(self.langs)):
             total[:, k] = np.add.reduceat(self.tables[0][k][three] + self.tables[1][k][four], starts)
@@ -127,7 +132,7 @@ class Model:
         total[~allowed] = -np.inf
         total[none] = 0
         total -= total.max(axis=1, keepdims=True)
-        return np.maximum(total, -CLIP), text
+        return np.maximum(total, -CLIP), text, ~none
 
 
 def constant(scores: np.ndarray, switch: float) -> int:
@@ -151,7 +156,10 @@ def constant(scores: np.ndarray, switch: float) -> int:
 
 
 def decode(many: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
-    """The best label of each word of each text when each change of label costs ``switch``."""
+    """The best label of each word of each text when each change of label costs ``switch``.
+
+    Of equal paths one that changes as late as it can is taken, of equal labels the first.
+    """
     out = [np.full(len(s), constant(s, switch), np.int16) for s in many]
     hard = sorted((i for i in range(len(many)) if out[i][0] < 0), key=lambda i: -len(many[i]))
     while hard:
@@ -190,10 +198,14 @@ def viterbi(many: list[np.ndarray], switch: float) -> list[np.ndarray]:
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model:
     """Fit on about ``rows`` labelled documents a language, chosen by a hash of their ids.
 
-    ``labelled`` has no null language. N-grams are counted on the executors; the driver
-    gets the counts: 2 * ``BUCKETS`` rows a language at most.
+    ``labelled`` has no null language, and at most ``MAX_LANGS`` different ones (an error
+    otherwise: the column is no language label then). N-grams are counted on the executors;
+    the driver gets the counts: 2 * ``BUCKETS`` rows a language at most. Null texts are left
+    out; without labelled rows the model knows ``und`` only.
     """
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}
+    counts = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().limit(MAX_LANGS + 1).collect()}
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} different values of {lang_col}")
     langs = sorted(counts)
     if not langs:
         return Model(["und"], np.zeros((BUCKETS, 1)), np.zeros((BUCKETS, 1)), np.zeros((len(SCRIPTS) + 2, 1)))
@@ -223,12 +235,16 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def label(texts: list[str | None], model: Model, switch: float = SWITCH) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
-    """Language, share of words, and spans ``(language, first word, words)`` of each text."""
+    """Language, share of words, and spans ``(language, first word, words)`` of each text.
+
+    Words without a candidate language belong to spans, but speak for no language: they
+    count against the share.
+    """
     out: list[tuple[str, float, list[tuple[str, int, int]]]] = []
     whole = [t or "" for t in texts]
     for part in _slices(whole):
         mine = whole[part]
-        scores, text = model.scores(mine)
+        scores, text, known = model.scores(mine)
         borders = np.searchsorted(text, np.arange(len(mine) + 1))
         some = [i for i in range(len(mine)) if borders[i] < borders[i + 1]]
         paths = dict(zip(some, decode([scores[borders[i] : borders[i + 1]] for i in some], switch), strict=True))
@@ -237,7 +253,7 @@ def label(texts: list[str | None], model: Model, switch: float = SWITCH) -> list
                 out.append(("und", 0.0, []))
                 continue
             path = paths[i]
-            words = np.bincount(path, minlength=len(model.langs))
+            words = np.bincount(path[known[borders[i] : borders[i + 1]]], minlength=len(model.langs))
             best = int(words.argmax())
             cuts = np.flatnonzero(np.diff(path)) + 1
             starts = [0, *cuts.tolist()]
@@ -246,12 +262,14 @@ def label(texts: list[str | None], model: Model, switch: float = SWITCH) -> list
     return out
 
 
-def identify(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "text", switch: float = SWITCH) -> DataFrame:
+def identify(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "text", switch: float = SWITCH, names: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
     """``(id_cols, lang_pred, score, spans)`` of every row of ``docs``, from its text alone.
 
-    ``score`` is the share of the text's words in spans of ``lang_pred``. A text that is
-    null or has no letter is ``und`` with score 0 and no spans. Ties go to the language
-    that sorts first. Repeated rows give repeated results.
+    ``score`` is the share of the text's words in spans of ``lang_pred`` whose script that
+    language uses. A text that is null or has no letter is ``und`` with score 0 and no spans;
+    one in unlearned scripts only has score 0. Ties go to the language that sorts first.
+    Repeated rows give repeated results. ``names`` are those of the three columns, for
+    ``id_cols`` that have them already.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -264,10 +282,12 @@ def identify(docs: DataFrame, model: Model, id_cols: list[str], text_col: str =
             spans = [[{"lang": a, "first_word": b, "words": c} for a, b, c in x[2]] for x in got]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(len(id_cols))], pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64()), pa.array(spans, span)],
-                names=[*id_cols, "lang_pred", "score", "spans"],
+                names=[*id_cols, *names],
             )
 
-    return docs.select(*id_cols, text_col).mapInArrow(run, f"{kinds}, lang_pred string, score double, spans array<struct<lang: string, first_word: long, words: long>>")
+    pred, share, found = names
+    own = free("text", id_cols)
+    return docs.select(*id_cols, F.col(text_col).alias(own)).mapInArrow(run, f"{kinds}, `{pred}` string, `{share}` double, `{found}` array<struct<lang: string, first_word: long, words: long>>")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
