@@ -136,7 +136,10 @@ class Model:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
     def score(self, texts: list[str]) -> np.ndarray:
-        """Scores in [0, 1]; texts without words, or a model without a sample, get the prior."""
+        """Scores in [0, 1]; texts without words, or a model without a sample, get the prior.
+
+        The ``NEIGHBOURS`` nearest vectors vote, and all that are as near as the last of them.
+        """
         out = np.full(len(texts), self.prior)
         if not len(self.vectors):
             return out
@@ -144,18 +147,21 @@ class Model:
             terms = counts(texts[part])
             near = self._unit(self._weighted(terms) @ self.basis) @ self.vectors.T
             k = min(NEIGHBOURS, near.shape[1])
-            top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            votes = np.maximum(np.take_along_axis(near, top, axis=1), 0) ** SHARPNESS
+            least = np.partition(near, near.shape[1] - k, axis=1)[:, -k, None]
+            votes = np.where(near >= least, np.maximum(near, 0), 0).astype(np.float64) ** SHARPNESS  # ties with the last one vote too
             total = votes.sum(axis=1)
             some = (total > 0) & (terms[:, 2 * TERMS :].sum(axis=1) > 0)
-            out[np.flatnonzero(some) + part.start] = ((votes * self.labels[top]).sum(axis=1)[some] / total[some]).clip(0, 1)
+            out[np.flatnonzero(some) + part.start] = ((votes @ self.labels)[some] / total[some]).clip(0, 1)
         return out
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", rows: int = TRAIN_ROWS) -> Model:
-    """Fit on the documents of at most ``rows`` ids of each label, the first in the order of a hash.
+    """Fit on at most ``rows`` documents of each label, the first in the order of a hash of their ids.
 
-    ``labelled`` has an id and a label a row; texts are only fetched for the chosen ids.
+    ``labelled`` has an id and a label a row, an id once; texts are only fetched for the
+    chosen ids. Where several documents have a chosen id, the one with the least hash of its
+    text stands for it, so the sample has one row an id, whatever ``docs`` holds. Null texts
+    count as empty.
     """
     shares = {int(r[0]): r[1] for r in labelled.groupBy(label_col).count().collect()}
     prior = shares.get(1, 0) / max(1, sum(shares.values())) if shares else 0.5
@@ -165,7 +171,9 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         ids = labelled.where(F.col(label_col) == value).select(id_col, label_col).orderBy(order, id_col).limit(rows)
         picked = ids if picked is None else picked.unionByName(ids)
     picked = materialize(picked.withColumnRenamed(label_col, "_label").withColumnRenamed(id_col, "_picked"), "sample")
-    texts = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("_picked"))  # at most 2 * rows ids
+    wanted = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), F.col("id") == F.col("_picked"))  # at most 2 * rows ids
+    one = wanted.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.md5("text").alias("m"))).alias("of"))
+    texts = wanted.join(one.select(F.col("id").alias("_of"), "of.h", "of.m"), (F.col("id") == F.col("_of")) & (F.xxhash64("text") == F.col("h")) & (F.md5("text") == F.col("m"))).dropDuplicates(["id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +187,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    got = texts.select(id_col, text_col, F.col("_label").cast("int").alias("label")).mapInArrow(run, f"id {kind}, at binary, n binary, label int").orderBy("id", "at").collect()
+    got = texts.select("id", "text", F.col("_label").cast("int").alias("label")).mapInArrow(run, f"id {kind}, at binary, n binary, label int").orderBy("id", "at").collect()
     sample = np.zeros((len(got), WIDTH))
     for row, g in zip(sample, got, strict=True):
         row[np.frombuffer(g["at"], np.int32)] = np.frombuffer(g["n"], np.int32)
