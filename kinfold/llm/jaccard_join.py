@@ -25,7 +25,9 @@ two different components and shares enough indexed shingles is verified. No link
 components can be missed, and pairs inside one component need no more links. (6) Components,
 and the documents' smallest ids.
 
-Equal 64-bit hashes stand for equal shingles and equal sets.
+Equal 64-bit hashes stand for equal shingles. Sets are told apart by a second hash: where two
+different ones share the first, it is chosen anew. Counting and meeting of shingles take one
+bucket at a time, and the number of buckets grows with the bytes of text.
 """
 
 from __future__ import annotations
@@ -39,9 +41,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.tables import table
+from kinfold.llm.tables import free, table
 from kinfold.operators.components import connected_components
-from kinfold.session import materialize
+from kinfold.session import materialize, release
 
 WORDS = 5
 PERCENT = 80
@@ -51,8 +53,12 @@ COSTLY = 24
 MOST_COSTLY = 200_000
 #: Keys a set has in the rounds of stars.
 BANDS = 10
-#: Parts that a band's nodes are dealt to for the chains.
-PARTS = 64
+#: Nodes of a band in a part, on average, that chains run through.
+PART_NODES = 5_000
+#: Bytes of text whose shingles are counted, or met, in one bucket.
+BUCKET_BYTES = 32 << 20
+#: Most tasks that buckets are dealt to; a task takes its buckets one after the other.
+MOST_TASKS = 20_000
 #: Shingles a task holds before it deals them out, packed by bucket.
 FLUSH = 1 << 20
 #: Most documents whose ids are broadcast to pick their texts for verification.
@@ -192,9 +198,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _node(sets: list[np.ndarray]) -> np.ndarray:
-    """A hash of each whole set."""
-    sums = [_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s)) for s in sets]
+def _node(sets: list[np.ndarray], salt: int = 0) -> np.ndarray:
+    """A hash of each whole set; other salts give other hashes."""
+    key = np.uint64((0x5851F42D4C957F2D + salt * 0x9E3779B97F4A7C15) & _MASK)
+    sums = [_mix(s ^ key).sum(dtype=np.uint64) + np.uint64(len(s)) for s in sets]
     return _signed(_mix(np.array(sums, np.uint64)))
 
 
@@ -244,11 +251,19 @@ def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list
         yield name, [c[rows].tobytes() for c in columns]
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """Rows ``(id, n, node)`` of each document, with its parities in ``data``, and packed rows ``(bucket, data)`` of plain prefixes."""
+def _by_bucket(packed: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows, those of a bucket together: a task needs memory for one bucket only."""
+    return packed.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket")
+
+
+def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, salt: int) -> DataFrame:
+    """Rows ``(id, h, n, node, other)`` of each document, with its parities in ``data``, and packed rows ``(bucket, data)`` of plain prefixes.
+
+    ``h`` is a hash of the text, ``other`` a second hash of the set.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa_type(docs, id_col)
-    names = ["id", "n", "node", "bands", "sketch", "bucket", "data"]
+    names = ["id", "h", "n", "node", "other", "bands", "sketch", "bucket", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -258,7 +273,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
             dealt = list(_dealt((keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)))
             held.clear()
             n = len(dealt)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), *[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())), pa.array([d[0] for d in dealt], pa.int64()), pa.array([d[1][0] for d in dealt], pa.binary())], names=names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -266,13 +281,14 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Dat
                 sets = shingle_sets(_texts(part.column(1)))
                 held += [s[: prefix_length(len(s))] for s in sets if len(s)]
                 n = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets)), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets, salt)), pa.array(_node(sets, -1 - salt)), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
                 if sum(map(len, held)) >= FLUSH:
                     yield flush()
         if held:
             yield flush()
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, node long, bands array<long>, sketch array<long>, bucket long, data binary")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h")).mapInArrow(run, f"id {kind}, h long, n long, node long, other long, bands array<long>, sketch array<long>, bucket long, data binary")
 
 
 def pa_type(df: DataFrame, column: str) -> pa.DataType:
@@ -311,27 +327,37 @@ def _lengthened(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFra
     return docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").mapInArrow(run, "bucket long, data binary")
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Consecutive rows with equal values in the first ``keys`` columns, and what they have in the others."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if row[:keys] != key:
+                if held:
+                    yield key, held
+                key, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield key, held
+
+
 def _costly(packed: DataFrame, buckets: int, known: Costly | None = None) -> Costly:
     """The shingles that the most of the packed prefixes have, and those known already."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(name, []).append(data)
-        for name, data in held.items():
-            low, n = np.unique(np.frombuffer(b"".join(data), np.uint32), return_counts=True)
+        for name, rows in _runs(batches, 1):
+            low, n = np.unique(np.frombuffer(b"".join(r[0] for r in rows), np.uint32), return_counts=True)
             many = n >= COSTLY
-            key = (np.int64(name) << np.int64(32)) | low[many].astype(np.int64)
+            key = (np.int64(name[0]) << np.int64(32)) | low[many].astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n[many].astype(np.int64))], names=["key", "n"])
 
-    counts = packed.select("bucket", "data").where("bucket is not null").repartition(buckets, "bucket").mapInArrow(count, "key long, n long")
+    counts = _by_bucket(packed.select("bucket", "data").where("bucket is not null"), buckets).mapInArrow(count, "key long, n long")
     top = counts.orderBy(F.desc("n"), "key").limit(MOST_COSTLY).select("key").toPandas()["key"]
     keys = top.to_numpy(np.int64).astype(np.uint64)
     return Costly(np.union1d(keys, known.keys) if known else keys, buckets)
 
 
-def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
+def _shared(docs: DataFrame, text_col: str, costly, buckets: int, salt: int) -> DataFrame:
     """``(shingle, node, lead, dear)`` of indexed shingles that more than one node has, and of all costly ones."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +379,7 @@ def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 sets = shingle_sets(_texts(batch.column(0).slice(at, 512)))
-                for s, node in zip(sets, _node(sets).tolist(), strict=True):
+                for s, node in zip(sets, _node(sets, salt).tolist(), strict=True):
                     if len(s):
                         held.append((*adaptive_prefix(s, costly.value)[:2], node, lead_length(len(s))))
                 if sum(len(h[0]) + len(h[1]) for h in held) >= FLUSH:
@@ -362,12 +388,8 @@ def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bool], tuple[list[bytes], list[bytes], list[bytes]]] = {}
-        for batch in batches:
-            for bucket, dear, *packed in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
-                for to, data in zip(held.setdefault((bucket, dear), ([], [], [])), packed, strict=True):
-                    to.append(data)
-        for (_, dear), (x, y, z) in held.items():
+        for (_, dear), rows in _runs(batches, 2):
+            x, y, z = zip(*rows, strict=True)
             shingles, nodes, leads = np.frombuffer(b"".join(x), np.int64), np.frombuffer(b"".join(y), np.int64), np.frombuffer(b"".join(z), np.uint8)
             order = np.lexsort((nodes, shingles))
             shingles, nodes, leads = shingles[order], nodes[order], leads[order]
@@ -380,22 +402,31 @@ def _shared(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFrame:
 
     text = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
     packed = text.mapInArrow(emit, "bucket long, dear boolean, shingles binary, nodes binary, leads binary")
-    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, node long, lead boolean, dear boolean")
+    return packed.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket", "dear").mapInArrow(meet, "shingle long, node long, lead boolean, dear boolean")
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, costly) -> DataFrame:
-    """``(node, n, data, long, matches)`` of the nodes whose document ``(id, node)`` is wanted."""
-    ids = wanted.select("id", "node")
+def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, costly, salt: int) -> DataFrame:
+    """``(node, data, long, matches)`` of the nodes whose document ``(id, h, node)`` is wanted.
+
+    Ids may be null. A document that several rows hold is returned once a task.
+    """
+    ids = wanted.select("id", "h", "node")
     if wanted.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)  # 16 bytes a row; beyond the bound the join is shuffled
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
+        ids = F.broadcast(ids)  # 24 bytes a row; beyond the bound the join is shuffled
+    text = F.col(text_col).cast("string")
+    whole = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_h"))
+    picked = whole.join(ids, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_h") == F.col("h")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
+                asked = part.column(1).to_numpy()
+                fresh = [i for i, node in enumerate(asked.tolist()) if node not in seen and not seen.add(node)]
+                part, asked = part.take(pa.array(fresh, pa.int64())), asked[fresh]
                 sets = shingle_sets(_texts(part.column(0)))
-                mine = np.flatnonzero(_node(sets) == part.column(1).to_numpy())  # an id may have several texts
+                mine = np.flatnonzero(_node(sets, salt) == asked)
                 sets = [sets[i] for i in mine]
                 shape = [adaptive_prefix(s, costly.value)[2:] for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -437,15 +468,23 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     component. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = materialize(_documents(docs, id_col, text_col, buckets), "shingles")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    for salt in range(4):
+        first = materialize(_documents(docs, id_col, text_col, buckets, salt), "shingles")
+        nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "h")).alias("of"), F.max("n").alias("n"), F.any_value("data").alias("bits"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"), F.min("other").alias("other"), F.max("other").alias("other2"))
+        nodes = materialize(nodes.select("node", "of.id", "of.h", "n", "bits", "bands", "sketch", "other", "other2"), "nodes")
+        if nodes.where("other != other2").isEmpty():
+            break  # else two different sets share a hash: another salt
+        release(first, nodes)
+    else:
+        raise RuntimeError("hashes of different sets keep colliding")
     documents = first.where("bucket is null").select("id", "n", "node")
     plain = spark.sparkContext.broadcast(_costly(first, buckets))
     costly = spark.sparkContext.broadcast(_costly(_lengthened(docs, text_col, plain, buckets), buckets, plain.value))
-    nodes = first.where("bucket is null and n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("data").alias("bits"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
-    nodes = materialize(nodes, "nodes")
-    shared = materialize(_shared(docs, text_col, costly, buckets), "shared")
+    shared = materialize(_shared(docs, text_col, costly, buckets, salt), "shared")
     index = materialize(shared.distinct().join(nodes.select("node", "n"), "node"), "index")
+    release(shared)
 
     @F.pandas_udf("long")
     def difference(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -464,15 +503,17 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-        sets = materialize(_sets(docs, id_col, text_col, ends, costly), "sets")
-        return materialize(_verified(pairs, sets), label)
+        sets = materialize(_sets(docs, id_col, text_col, ends, costly, salt), "sets")
+        out = materialize(_verified(pairs, sets), label)
+        release(sets)
+        return out
 
     # Stars and chains first: of the nodes with an equal band, each is compared with the least one,
     # and with the two before it among those that fall into the same part of the band.
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("of"), F.max("node").alias("last")).where("of.node != last")
-    stars = banded.join(leaders.select("band", F.col("of").alias("x")), "band")
-    before = Window.partitionBy("band", F.pmod("node", F.lit(PARTS))).orderBy("node")
+    leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("of"), F.max("node").alias("last"), F.count("*").alias("c")).where("of.node != last")
+    stars = banded.join(leaders.select("band", F.col("of").alias("x"), F.ceil(F.col("c") / PART_NODES).alias("parts")), "band")
+    before = Window.partitionBy("band", F.pmod("node", "parts")).orderBy("node")
     lags = stars.select("node", "n", *[F.lag(F.struct("node", "n"), k).over(before).alias(f"x{k}") for k in (1, 2)])
     chains = lags.select("node", "n", F.explode(F.array_compact(F.array("x1", "x2"))).alias("x"))
     flat = [F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")]
@@ -525,24 +566,24 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = nodes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = whole.groupBy("component").agg(F.min("id").alias("component_id"))
     groups = materialize(whole.join(smallest, "component").select("node", "component_id"), "groups")
+    release(index, placed, stars, rest)
     out = documents.select("id", "n", "node").join(groups, "node", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document, the one of the smallest id, of each linked group.
+def keep_one(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with one row, the first in the order in which the table is read, of each linked group.
 
-    Documents without shingles are linked with nothing and stay, as do groups of null ids.
+    Rows are told apart by a number of their own, so null and repeated ids make no
+    difference: rows with equal texts are one group, rows with equal ids and different texts
+    are not. Rows without shingles are linked with nothing and stay. Other columns of any
+    name stay as they are.
     """
-    groups = join_groups(docs, id_col, text_col)
-    stay = materialize(groups.where(F.col("component_id").isNull() | (F.col("component_id") == F.col(id_col))).select(id_col, "n_shingles"), "stay")
-    kept = docs.join(stay.select(id_col).distinct().hint("merge"), docs[id_col].eqNullSafe(stay[id_col]), "left_semi")
-    counts = stay.where(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0)).agg(F.count("*").alias("n"), F.countDistinct(id_col).alias("d")).first()
-    if counts["n"] == counts["d"]:
-        return kept
-    # Repeated rows: equal id and text count as one document.
-    named = kept.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).dropDuplicates([id_col, text_col])
-    return named.unionByName(kept.where(F.col(id_col).isNull() | F.col(text_col).isNull()))
+    row = free("row", docs.columns)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # written, so that numbers stay
+    groups = join_groups(rows, row, text_col)
+    stay = materialize(groups.where(F.col("component_id") == F.col(row)).select(F.col(row).alias(free("stay", docs.columns))), "stay")
+    return rows.join(stay.hint("merge"), F.col(row) == stay[stay.columns[0]], "left_semi").select(*docs.columns)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

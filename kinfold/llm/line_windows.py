@@ -104,7 +104,7 @@ def _removed(lines: Column, starts: Column, width: int, min_words: int) -> Colum
     return F.flatten(F.transform(kept, lambda s: F.sequence(s["b"], s["e"])))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS, names: tuple[str, str] = ("n_lines", "removed_lines")) -> DataFrame:
     """``docs`` with repeated passages cut from the text; adds ``n_lines`` and ``removed_lines``.
 
     Lines (``lines_of``) are compared without blanks and line feeds at their ends. A passage
@@ -113,12 +113,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole physical lines. Null and empty texts and texts of fewer than ``width`` lines stay as
     they are (null: ``n_lines`` 0). Rows with equal id and text are one document: they do not
     count as repetitions of each other, and get the same result. A null id sorts first.
-    Other columns of any name stay; columns named like the added ones are replaced.
+    Other columns of any name stay; columns named like the added ones (``names``) are replaced.
     """
     starts = materialize(repeated_positions(docs, id_col, text_col, width), "repeats")
     size = starts.agg(F.coalesce(F.sum(64 + 4 * F.size("starts")), F.lit(0))).first()[0]
     starts = F.broadcast(starts) if size <= BROADCAST_BYTES else starts.hint("merge")
-    names = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
+    kept_names = [c for c in docs.columns if c not in names]
     own, k0, k1, k2 = (free(c, docs.columns) for c in ("own", "k0", "k1", "k2"))
     keyed = docs.withColumns(dict(zip((k0, k1, k2), _key(id_col, text_col), strict=True)))
     of = starts.select(F.struct("*").alias(own))
@@ -137,9 +137,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     done = F.when(F.col(own).isNotNull(), _bind(lines_of(text), cut)).otherwise(F.struct(F.lit(None).cast("string").alias("text"), F.size(lines_of(text)).alias("n"), none.alias("gone")))
     result = joined.withColumn(own, done)
     return result.select(
-        *[F.coalesce(F.col(own)["text"], text).alias(c) if c == text_col else F.col(c) for c in names],
-        F.when(text.isNull(), 0).otherwise(F.col(own)["n"]).alias("n_lines"),
-        F.col(own)["gone"].alias("removed_lines"),
+        *[F.coalesce(F.col(own)["text"], text).alias(c) if c == text_col else F.col(c) for c in kept_names],
+        F.when(text.isNull(), 0).otherwise(F.col(own)["n"]).alias(names[0]),
+        F.col(own)["gone"].alias(names[1]),
     )
 
 
