@@ -6,41 +6,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import jaccard_join, langid, line_windows, mixing, packing
-from kinfold.session import materialize
+from kinfold.llm.tables import free
+from kinfold.session import materialize, release
 
 #: A document is rejected as being in no known language below this share of words.
 LEAST_SHARE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Set ``lang`` to the language found; documents without any (``und``) or with no prevailing one go."""
-    found = langid.identify(docs, langid.fit_documents(docs), docs.columns)
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    """Set ``lang`` to the language found.
+
+    Documents without any (null, empty, no letters), or of which less than ``LEAST_SHARE`` of
+    the words are in it, go. Repeated rows and rows with null ids are judged like others.
+    """
+    names = tuple(free(c, docs.columns) for c in ("lang_pred", "score", "spans"))
+    found = langid.identify(docs, langid.fit_documents(docs), docs.columns, names=names)
+    kept = found.where((F.col(names[0]) != "und") & (F.col(names[1]) >= LEAST_SHARE))
+    return kept.withColumn("lang", F.col(names[0])).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove later occurrences of three-line passages; documents that nothing is left of go."""
-    cut = line_windows.dedup_lines(docs)
-    left = cut.where((F.col("removed_lines") == 0) | (F.trim("text") != ""))
+    """Remove later occurrences of three-line passages; documents that nothing is left of go.
+
+    Rows equal in id and text are one document and stay as many as they are; null ids are
+    kept, and null texts (which nothing was removed from).
+    """
+    lines, removed = (free(c, docs.columns) for c in ("lines", "removed"))
+    cut = line_windows.dedup_lines(docs, names=(lines, removed))
+    left = cut.where((F.col(removed) == 0) | F.col("text").rlike(line_windows.WORD))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return jaccard_join.keep_one(docs).select(*docs.columns)
+    """One row of each group of near duplicates stays, whatever the ids."""
+    return jaccard_join.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, also where ids are null or repeated."""
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # written, so that numbers stay
-    copies = materialize(mixing.mix(rows, row_col="_row").where("copies > 0").select(F.col("_row").alias("_mixed"), "copies"), "copies").hint("merge")  # the same plan at every size
-    repeated = rows.join(copies, F.col("_row") == F.col("_mixed"))
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    row, of = free("row", docs.columns), free("of", docs.columns)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # written, so that numbers stay
+    mixed = mixing.mix(rows, carry=row).where("copies > 0").select(F.struct(F.col(row).alias("row"), "copies").alias(of))
+    copies = materialize(mixed, "copies").hint("merge")  # the same plan at every size
+    repeated = rows.join(copies, F.col(row) == F.col(of)["row"])
+    return repeated.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(of)["copies"])).alias(of)).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 2048."""
+    """Token pieces and their places in sequences of 2048; null texts count as empty, repeated rows are packed as often as they occur."""
     return packing.pack(docs, packing.default_tokenizer())
 
 
@@ -59,5 +72,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        release(before)
     return docs
