@@ -9,9 +9,9 @@ into the room that remains.
 Scale: lengths are integers from 1 to ``capacity``, so the driver only sees the histogram
 of lengths (at most ``capacity`` rows) and makes a plan in runs: "ranks a to b of length L
 go to sequences s to s + b - a at offset o". The number of runs depends on ``capacity``,
-not on the number of documents. Every piece then finds its place from its length and its
-rank among pieces of equal length; ranks are counted in two levels (hash bucket, then
-within a bucket), so that one frequent length is spread over all tasks.
+not on the number of documents. Every piece then finds its place from its length and its rank among pieces of
+equal length: the task that writes a piece counts those before it, and a table with a row a
+task and length has the sums of earlier tasks, so one frequent length is spread over all tasks.
 """
 
 from __future__ import annotations
@@ -32,8 +32,6 @@ from kinfold.llm.tables import table
 from kinfold.session import materialize
 
 CAPACITY = 2048
-#: Rows of a rank bucket, on average.
-BUCKET_ROWS = 100_000
 #: Distinct chunks, and parts of chunks, that a worker's tokenizer cache keeps.
 CACHE_WORDS = 500_000
 
@@ -149,31 +147,33 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     return docs.select(id_col, text_col).mapInArrow(pieces, f"`{id_col}` {id_type}, piece int, start long, length long, ids binary")
 
 
-def _configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 400) -> list[tuple[list[int], float]]:
-    """Column generation for the configuration program: ``(copies of each size, number)``."""
-    k = len(sizes)
+def _configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 1000) -> list[tuple[list[int], float]]:
+    """Column generation for the configuration program: ``(copies of each size, number)``.
+
+    The knapsack that prices configurations goes by the number of pieces in them, which is
+    small, as all sizes are large.
+    """
+    k, most = len(sizes), capacity // min(sizes)
     columns = np.diag([capacity // s for s in sizes]).astype(float)
     basis, inverse = columns.copy(), np.diag(1 / np.diag(columns))
     amount = inverse @ np.array(demand, float)
+    room = np.arange(capacity + 1)[None, :] - np.array(sizes)[:, None]
+    fits, room = room >= 0, np.maximum(room, 0)
+    every = np.arange(capacity + 1)
     for _ in range(rounds):
         value = inverse.sum(axis=0)  # dual prices, as every pattern costs 1
-        best = np.zeros(capacity + 1)
-        pick = np.full(capacity + 1, -1)
-        for c in range(min(sizes), capacity + 1):
-            best[c], pick[c] = best[c - 1], -1
-            fits = bisect.bisect_right(sizes, c)
-            if fits:
-                gains = best[c - np.array(sizes[:fits])] + value[:fits]
-                top = int(gains.argmax())
-                if gains[top] > best[c] + 1e-12:
-                    best[c], pick[c] = gains[top], top
+        best, picks = np.zeros(capacity + 1), []
+        for _ in range(most):
+            gains = np.where(fits, best[room] + value[:, None], -1.0)
+            top = gains.argmax(axis=0)
+            better = gains[top, every] > best + 1e-12
+            picks.append(np.where(better, top, -1))
+            best = np.where(better, gains[top, every], best)
         if best[capacity] < 1 + 1e-4:
             break
         column, c = np.zeros(k), capacity
-        while c >= min(sizes):
-            if pick[c] < 0:
-                c -= 1
-            else:
+        for pick in reversed(picks):
+            if pick[c] >= 0:
                 column[pick[c]] += 1
                 c -= sizes[pick[c]]
         step = inverse @ column
@@ -191,16 +191,33 @@ def _configurations(sizes: list[int], demand: list[int], capacity: int, rounds:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """The best of the grouped plans for a few bounds between long and short pieces."""
-    plans = [grouped_plan(histogram, capacity, small=small) for small in (2, 3)]
-    return min(plans, key=lambda runs: max((r[3] + r[2] for r in runs), default=0))
+    """The best of the grouped plans for some bounds between long and short pieces.
+
+    Plain best fit is the plan only where every grouped plan needs more sequences, as it is
+    where plenty of short pieces fill whatever room best fit leaves: tight configurations of
+    long pieces then leave gaps that no piece fills. Twice the groups are tried where all
+    plans are a hundredth above the least number that the tokens need.
+    """
+    least = -(-sum(n * k for n, k in histogram.items()) // capacity)
+    best, needs = [], None
+    for small, groups in ((3, 48), (5, 48), (8, 48), (1, 0), (8, 96)):
+        if groups > 48 and needs <= 1.01 * least:
+            break
+        runs = grouped_plan(histogram, capacity, groups, small)
+        needed = max((r[3] + r[2] for r in runs), default=0)
+        if needs is None or needed < needs:
+            best, needs = runs, needed
+        if needs == least:
+            break
+    return best
 
 
 def grouped_plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = 48, small: int = 3) -> list[tuple[int, int, int, int, int]]:
     """Runs ``(length, first rank, number, first sequence, offset)`` that place every piece.
 
     ``histogram`` has the number of pieces of each length. The pieces of one length are
-    told apart by rank only, so runs describe any number of them.
+    told apart by rank only, so runs describe any number of them. Pieces longer than
+    ``capacity / small`` are grouped; for ``small`` = 1 none are, and all go by best fit.
     """
     runs: list[tuple[int, int, int, int, int]] = []
     used = dict.fromkeys(histogram, 0)
@@ -217,7 +234,7 @@ def grouped_plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: in
 
     large = sorted((n for n in histogram if capacity // small < n and histogram[n]), reverse=True)
     total = sum(histogram[n] for n in large)
-    if total >= 4 * groups:
+    if total:
         of_group: list[list[list[int]]] = [[]]  # per group [length, number], longest first
         quota, filled = -(-total // groups), 0
         for n in large:
@@ -297,26 +314,45 @@ def grouped_plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: in
     return runs
 
 
-def place_pieces(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` from 1 to ``capacity``.
+def numbered(pieces: DataFrame, label: str = "pieces") -> DataFrame:
+    """``pieces``, written, with ``_part`` (the task that wrote a row) and ``_nth`` (its rank there among rows of its length, from 0)."""
 
-    ``keys`` order pieces of equal length. Rows equal in all keys are interchangeable.
-    An empty table gives an empty table.
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, seen = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            nth = []
+            for n in batch.column(batch.schema.names.index("length")).to_pylist():
+                nth.append(seen.get(n, 0))
+                seen[n] = nth[-1] + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(nth), pa.int32()), pa.array(nth, pa.int64())], names=[*batch.schema.names, "_part", "_nth"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    return materialize(pieces.mapInArrow(number, f"{fields}, _part int, _nth long"), label)
+
+
+def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` from 1 to ``capacity`` (null or other lengths are an error).
+
+    Pieces of equal length are interchangeable: each has a rank, which counts those of
+    earlier tasks and those before it in its own. Repeated rows get places of their own. An
+    empty table gives an empty table.
     """
     spark = pieces.sparkSession
-    histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    pieces = pieces if {"_part", "_nth"} <= set(pieces.columns) else numbered(pieces)
+    counts = materialize(pieces.groupBy("length", "_part").agg(F.count("*").alias("_n")), "counts")
+    histogram = {r["length"]: int(r["n"]) for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).limit(capacity + 1).collect()}
+    if not all(n is not None and 1 <= n <= capacity for n in histogram):
+        raise ValueError(f"lengths must be from 1 to {capacity}")
     runs = sorted(plan(histogram, capacity))
     starts = np.array([r[0] << 44 | r[1] for r in runs], np.int64)
     sequence = np.array([r[3] for r in runs], np.int64)
     offset = np.array([r[4] for r in runs], np.int64)
     lookup = spark.sparkContext.broadcast((starts, sequence, offset))
-
-    buckets = max(1, -(-sum(histogram.values()) // BUCKET_ROWS))
-    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    counts = spread.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
-    before = counts.select("length", "_bucket", (F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n")).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy(*keys))
-    ranked = spread.withColumn("_within", within).join(before, ["length", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_within") - 1)
+    # A task's rows of one length meet one row of counts: no key has more rows than a task wrote.
+    before = counts.select(F.col("length").alias("_l"), F.col("_part").alias("_p"), (F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"))
+    ranked = pieces.join(before, (F.col("length") == F.col("_l")) & (F.col("_part") == F.col("_p"))).withColumn("_rank", F.col("_before") + F.col("_nth"))
 
     @F.pandas_udf("struct<sequence_id: long, offset: long>")
     def find(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
@@ -325,7 +361,8 @@ def place_pieces(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY) -
         at = np.searchsorted(first, key, "right") - 1
         return pd.DataFrame({"sequence_id": to[at] + key - first[at], "offset": place[at]})
 
-    return ranked.withColumn("_place", find("length", "_rank")).select(*pieces.columns, "_place.sequence_id", "_place.offset")
+    kept = [c for c in pieces.columns if c not in ("_part", "_nth")]
+    return ranked.withColumn("_place", find("length", "_rank")).select(*kept, "_place.sequence_id", "_place.offset")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -338,8 +375,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     pieces = tokenize(docs, tokenizer_path, id_col, text_col, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
     kept = [id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    pieces = materialize(pieces.select(*kept), "pieces")
-    return place_pieces(pieces, [id_col, "piece", "ids_crc32"], capacity)
+    return place_pieces(numbered(pieces.select(*kept)), capacity)
 
 
 def default_tokenizer() -> str:

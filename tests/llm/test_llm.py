@@ -65,6 +65,24 @@ def test_plan_places_every_piece(seed):
     assert len(bins) <= 1.06 * sum(k * v for k, v in histogram.items()) / 2048 + 1
 
 
+def test_grouping_beats_best_fit_and_is_never_worse():
+    rng = random.Random(1)
+    count = lambda runs: max(r[3] + r[2] for r in runs)
+    even = dict.fromkeys(range(300, 1101), 0)
+    for _ in range(20_000):
+        even[rng.randint(300, 1100)] += 1
+    assert count(packing.plan(even)) <= 1.01 * sum(k * v for k, v in even.items()) / 2048 < count(packing.grouped_plan(even, small=1)) / 1.015
+    for histogram in ({700: 5, 1500: 5, 3: 9}, {2048: 3}, {1: 1}, {}, {1300: 40, 700: 40, 48: 11}):
+        assert max((r[3] + r[2] for r in packing.plan(histogram)), default=0) <= max((r[3] + r[2] for r in packing.grouped_plan(histogram, small=1)), default=0)
+
+
+def test_many_equal_pieces_have_places_of_their_own(spark):
+    df = spark.range(0, 30_000, 1, 7).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 == 0, 700).otherwise(1).cast("long").alias("length"))
+    got = packing.place_pieces(df).toPandas()
+    assert len(got) == 30_000 and not got.duplicated(["sequence_id", "offset"]).any()
+    assert (got.groupby("sequence_id").length.sum() <= 2048).all()
+
+
 def test_language(spark):
     en, de = "the cat sat on the mat with the other cats and went home", "der hund und die katze sind nicht zu hause aber im garten"
     train = spark.createDataFrame([(i, en if i % 2 else de, "en" if i % 2 else "de") for i in range(60)], "doc_id long, text string, lang string")
