@@ -15,7 +15,6 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_line_windows": line_windows.op9_line_windows,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
-    "op3_url_filter_domains": url_filter.op3_url_filter_domains,
 }
 
 #: Where SQL can express the operator; the others are tested against brute force, round trips or held-out rows.

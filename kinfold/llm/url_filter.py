@@ -8,9 +8,11 @@ whose distrust outweighs its trust by the threshold is blocked.
 
 Every host is joined to its parent domains at all levels, with or without pages of their
 own, so that sibling subdomains connect; and a page weighs the same as a seed whether it is
-allowed or blocked. ``OP3_SQL`` has neither: there only a parent domain with pages counts,
-and each kind of seed is divided by its own total. ``op3_url_filter`` equals that SQL,
-``op3_url_filter_domains`` is the whole method.
+allowed or blocked.
+
+The ranks are summed until the mass still under way, a power of the damping, is at most
+``TOLERANCE``. Mass at hosts without links goes back to the seeds: that only scales what the
+other walks bring, so each kind's scores are scaled to its seeds' mass at the end.
 
 DataFrame functions only. Edges are host pairs with counts, aggregated before the
 shuffle; each step is one join and one aggregate over the edges, and the scores are
@@ -19,20 +21,24 @@ written to the shared folder every few steps to cut the lineage.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.tables import table
-from kinfold.session import materialize
+from kinfold.session import materialize, release
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host and path, verdict)
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 DAMPING = 0.85
-STEPS = 8
-CUT_EVERY = 4
+#: Mass that may still be under way when the steps end, of 1.
+TOLERANCE = 0.01
+CUT_EVERY = 5
+#: A share of trust and distrust so small is no difference: sums in another order may show it.
+EVEN = 1e-9
 #: Share of distrust in a host's trust and distrust above which it is blocked.
 THRESHOLD = 0.5
 LINK = r"(?i)href\s*=\s*[\x22']?(?:https?:)?//([^/?#\x22'\s>]+)"
@@ -56,25 +62,27 @@ def judge(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Col
     return rule, verdict
 
 
-def host_edges(judged: DataFrame, html: DataFrame | None = None, domains: bool = True) -> DataFrame:
-    """``(src, dst, n)``: links between different hosts, and between a host and its parent domain.
+def steps_for(damping: float = DAMPING, tolerance: float = TOLERANCE) -> int:
+    """Steps after which no more than ``tolerance`` of the mass is under way."""
+    return max(1, math.ceil(math.log(tolerance) / math.log(damping)))
+
+
+def host_edges(judged: DataFrame, html: DataFrame | None = None) -> DataFrame:
+    """``(src, dst, n)``: links between different hosts, and between a host and its parent domains.
 
-    A subdomain and its parent domain count as linking each other, up to the domain of two
-    labels; addresses have no parents. Without ``domains`` only a host and its immediate
-    parent count, where both have pages.
+    ``judged`` and ``html`` have a ``host``; null texts and hosts that are null or empty have
+    no links. A subdomain and its parent domain count as linking each other, up to the
+    domain of two labels; addresses have no parents.
     """
     hosts = judged.select("host").where("host != ''").distinct()
-    if domains:
-        labels = F.split("host", r"\.")
-        suffix = lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-        levels = F.transform(F.sequence(F.lit(1), F.size(labels) - 2), lambda i: F.struct(suffix(i).alias("host"), suffix(i + 1).alias("parent")))
-        named = hosts.where((F.size(labels) > 2) & ~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$"))
-        up = named.select(F.explode(levels).alias("u")).select("u.host", "u.parent").distinct()
-    else:
-        parent = F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)
-        up = hosts.select("host", parent.alias("parent")).join(hosts.withColumnRenamed("host", "parent"), "parent")
-    edges = up.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1).cast("long").alias("n"))
-    edges = edges.unionByName(up.select(F.col("parent").alias("src"), F.col("host").alias("dst"), F.lit(1).cast("long").alias("n")))
+    labels = F.split("host", r"\.")
+    suffix = lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+    levels = F.transform(F.sequence(F.lit(1), F.size(labels) - 2), lambda i: F.struct(suffix(i).alias("host"), suffix(i + 1).alias("parent")))
+    named = hosts.where((F.size(labels) > 2) & ~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$"))
+    up = named.select(F.explode(levels).alias("u")).select("u.host", "u.parent").distinct()
+    one = F.lit(1).cast("long").alias("n")
+    edges = up.select(F.col("host").alias("src"), F.col("parent").alias("dst"), one)
+    edges = edges.unionByName(up.select(F.col("parent").alias("src"), F.col("host").alias("dst"), one))
     if html is not None:
         target = F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), 1)))
         links = html.select(F.col("host").alias("src"), target.alias("to")).select("src", F.translate("to", UPPER, LOWER).alias("dst"))
@@ -82,65 +90,66 @@ def host_edges(judged: DataFrame, html: DataFrame | None = None, domains: bool =
     return edges.groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(judged: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS, one_total: bool = True) -> DataFrame:
+def propagate(judged: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``(host, trust, distrust)`` for hosts that either reaches.
 
     ``judged`` has ``host`` and the ``ruled`` verdict of each page. The two scores start in
     proportion to the pages that rules allow, or block, on a host, with mass 1 together; so
     a comparison of the two does not depend on how many pages of each kind there are
-    elsewhere. Without ``one_total`` each of them starts with mass 1.
+    elsewhere. Without seeds of a kind nobody has any of it.
     """
     says = F.when(F.col("ruled") == "allow", "trust").when(F.col("ruled") == "block", "distrust")
     pages = judged.where("ruled is not null and host != ''").groupBy("host", says.alias("kind")).agg(F.count("*").alias("n"))
-    totals = pages.groupBy("kind").agg(F.sum("n").alias("total"))
-    if one_total:
-        totals = totals.select("kind", F.sum("total").over(Window.partitionBy()).alias("total"))  # two rows
-    seeds = materialize(pages.join(F.broadcast(totals), "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("seed")), "seeds")  # totals: two rows
+    total = pages.agg(F.sum("n").alias("total"))  # one row
+    seeds = materialize(pages.crossJoin(F.broadcast(total)).select("kind", "host", (F.col("n") / F.col("total")).alias("seed")), "seeds")
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("n")))
     out = both.groupBy("kind", "src").agg(F.sum("n").alias("out"))
-    steps_table = materialize(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("out")).alias("share")), "edges")
+    shares = materialize(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("out")).alias("share")), "edges")
     start = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("part"))
-    score = seeds.select("kind", "host", F.col("seed").alias("score"))
-    for step in range(1, steps + 1):
-        moved = score.withColumnRenamed("host", "src").join(steps_table, ["kind", "src"])
+    score, written = seeds.select("kind", "host", F.col("seed").alias("score")), None
+    for step in range(1, steps_for(damping, tolerance) + 1):
+        moved = score.withColumnRenamed("host", "src").join(shares, ["kind", "src"])
         moved = moved.select("kind", F.col("dst").alias("host"), (F.lit(damping) * F.col("score") * F.col("share")).alias("part"))
         score = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("part").alias("score"))
         if step % CUT_EVERY == 0:
             score = materialize(score, "rank")
+            if written is not None:
+                release(written)
+            written = score
+    arrived = score.groupBy("kind").agg(F.sum("score").alias("arrived"))
+    mass = seeds.groupBy("kind").agg(F.sum("seed").alias("mass")).join(arrived, "kind").select("kind", (F.col("mass") / F.col("arrived")).alias("scale"))
+    scaled = score.join(F.broadcast(mass), "kind").withColumn("score", F.col("score") * F.col("scale"))  # mass: two rows
     one = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
-    return score.groupBy("host").agg(one("trust"), one("distrust"))
+    return scaled.groupBy("host").agg(one("trust"), one("distrust"))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", threshold: float = THRESHOLD, domains: bool = True, one_total: bool = True) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", threshold: float = THRESHOLD, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``(id_col, host, path, rule, verdict, trust, distrust)`` for every page.
 
     Pages that no rule fits take their host's verdict: ``block`` where distrust is more than
-    ``threshold`` of trust and distrust together, else ``allow`` (also where neither arrives,
-    and for URLs that are null or without ``://``, whose host and path are empty). Repeated
-    rows give repeated results and count as often as seeds. ``domains`` and ``one_total`` are
-    those of ``host_edges`` and ``propagate``.
+    ``threshold`` of trust and distrust together, else ``allow`` (also where both are even,
+    where neither arrives, and for URLs that are null or without ``://``, whose host and path
+    are empty). Repeated rows give repeated results and count as often as seeds. Other
+    columns are not looked at. An empty table gives an empty table.
     """
-    parts = pages.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
+    parts = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     rule, verdict = judge(F.col("host"), F.col("path"), rules)
     judged = materialize(parts.withColumn("rule", rule).withColumn("ruled", verdict), "judged")
     html = pages.select(url_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")) if html_col else None
-    hosts = materialize(propagate(judged, materialize(host_edges(judged, html, domains), "hosts"), one_total=one_total), "scores")
+    edges = materialize(host_edges(judged, html), "hosts")
+    hosts = materialize(propagate(judged, edges, damping, tolerance), "scores")
     # One host may have a third of all pages: its row is copied to as many parts as its pages are dealt to.
     salts = 16
-    spread = judged.withColumn("_salt", F.pmod(F.xxhash64(id_col, "path"), F.lit(salts)))
+    spread = judged.withColumn("_salt", F.pmod(F.xxhash64("id", "path"), F.lit(salts)))
     copied = hosts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
     joined = spread.join(copied, ["host", "_salt"], "left")
-    blocked = F.col("distrust") > threshold * (F.col("trust") + F.col("distrust"))
+    both = F.col("trust") + F.col("distrust")
+    blocked = F.col("distrust") - threshold * both > EVEN * both
     final = F.coalesce("ruled", F.when(blocked, "block").otherwise("allow"))
-    return joined.select(id_col, "host", "path", "rule", final.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+    return joined.select(F.col("id").alias(id_col), "host", "path", "rule", final.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``OP3_SQL`` has it: on pages without links between hosts a host keeps its own seeds only."""
-    return filter_urls(table(spark, sf_dir, "pages"), domains=False, one_total=False).select("page_id", "host", "path", "rule", "verdict")
-
-
-def op3_url_filter_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -159,16 +168,17 @@ def _sql() -> str:
     SELECT s.kind, dst AS host, {DAMPING}::DOUBLE * score * share AS part FROM {previous} s JOIN shares e ON s.kind = e.kind AND s.host = e.src
     UNION ALL SELECT kind, host, (1 - {DAMPING}::DOUBLE) * seed FROM seeds) GROUP BY kind, host)"""
 
-    chain = reduce(lambda done, k: [*done, step(f"r{k - 1}", f"r{k}")], range(1, STEPS + 1), [])
+    chain = reduce(lambda done, k: [*done, step(f"r{k - 1}", f"r{k}")], range(1, steps_for() + 1), [])
     link = LINK.replace("'", "''")
     return f"""
 WITH parts AS (
   SELECT page_id, html, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 judged AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS ruled FROM parts),
-hosts AS (SELECT DISTINCT host FROM judged WHERE host != ''),
+hosts AS (SELECT DISTINCT host, string_split(host, '.') AS l FROM judged WHERE host != ''),
 up AS (
-  SELECT a.host, b.host AS parent FROM hosts a JOIN hosts b ON regexp_extract(a.host, '^[^.]+\\.(.+\\..+)$', 1) = b.host),
+  SELECT DISTINCT array_to_string(l[i:], '.') AS host, array_to_string(l[i + 1:], '.') AS parent
+  FROM (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM hosts WHERE len(l) > 2 AND NOT regexp_matches(host, '^[0-9.]+(:[0-9]*)?$'))),
 links AS (
   SELECT host AS src, translate(t, '{UPPER}', '{LOWER}') AS dst FROM (SELECT host, unnest(list_distinct(regexp_extract_all(html, '{link}', 1))) AS t FROM judged)),
 edges AS (
@@ -179,14 +189,16 @@ directed AS (SELECT 'trust' AS kind, src, dst, n FROM edges UNION ALL SELECT 'di
 shares AS MATERIALIZED (SELECT kind, src, dst, n::DOUBLE / sum(n) OVER (PARTITION BY kind, src) AS share FROM directed),
 counted AS (
   SELECT CASE ruled WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n FROM judged WHERE ruled IS NOT NULL AND host != '' GROUP BY ALL),
-seeds AS MATERIALIZED (SELECT kind, host, n::DOUBLE / sum(n) OVER (PARTITION BY kind) AS seed FROM counted),
+seeds AS MATERIALIZED (SELECT kind, host, n::DOUBLE / sum(n) OVER () AS seed FROM counted),
 r0 AS (SELECT kind, host, seed AS score FROM seeds),
 {", ".join(chain)},
+scaled AS (
+  SELECT host, kind, score * (SELECT sum(seed) FROM seeds s WHERE s.kind = r.kind) / sum(score) OVER (PARTITION BY kind) AS score FROM r{steps_for()} r),
 scores AS (
   SELECT host, coalesce(sum(score) FILTER (WHERE kind = 'trust'), 0) AS trust, coalesce(sum(score) FILTER (WHERE kind = 'distrust'), 0) AS distrust
-  FROM r{STEPS} GROUP BY host)
+  FROM scaled GROUP BY host)
 SELECT page_id, judged.host, path, rule,
-  coalesce(ruled, CASE WHEN distrust > {THRESHOLD} * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(ruled, CASE WHEN distrust - {THRESHOLD} * (trust + distrust) > {EVEN} * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN scores ON judged.host = scores.host
 """
 
