@@ -174,7 +174,7 @@ def test_pseudonyms(spark):
 
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(17 * 23).select(F.floor(F.col("id") / 23).alias("a"), (F.col("id") % 23).alias("b"))
-    out = pairs.select(pseudonyms.feistel(F.col("a"), F.col("b"), F.lit(17), F.lit(23), F.lit("k")).alias("p"))
+    out = pairs.select(pseudonyms.feistel(F.col("a"), F.col("b"), F.lit(17), F.lit(23), "k", F.lit("t")).alias("p"))
     assert out.distinct().count() == 17 * 23 and out.where("p.l < 0 or p.l >= 17 or p.r < 0 or p.r >= 23").count() == 0
 
 
