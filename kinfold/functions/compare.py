@@ -45,13 +45,20 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+#: Pairs of names whose similarity a worker keeps: names repeat, so most pairs are known.
+MEMO = 1_000_000
+_memo: dict[tuple[str, str], float] = {}
+
+
 def _similarities(a: pd.Series, b: pd.Series) -> pd.Series:
-    memo: dict[tuple[str, str], float] = {}
     out = []
     for pair in zip(a, b, strict=True):
-        if pair not in memo:
-            memo[pair] = jaro_winkler(pair[0] or "", pair[1] or "")
-        out.append(memo[pair])
+        found = _memo.get(pair)
+        if found is None:
+            found = jaro_winkler(pair[0] or "", pair[1] or "")
+            if len(_memo) < MEMO:
+                _memo[pair] = found
+        out.append(found)
     return pd.Series(out, dtype="float64")
 
 
@@ -94,13 +101,14 @@ def exact_level(a: Column, b: Column, unknown: str | None = None) -> Column:
 def agreement(pairs: DataFrame) -> DataFrame:
     """Add the five level columns to pairs with ``a_*`` and ``b_*`` fields.
 
-    The similarity is computed once for each distinct pair of names that differ.
+    Similarities come from one vectorized pass over the pairs, without a shuffle; names that
+    are equal or missing are not sent.
     """
-    names = pairs.select(F.explode(F.array(F.struct(F.col("a_first_name").alias("x"), F.col("b_first_name").alias("y")), F.struct(F.col("a_last_name").alias("x"), F.col("b_last_name").alias("y")))).alias("p"))
-    similar = names.select("p.x", "p.y").where("x != y and x != '' and y != ''").distinct().withColumn("jw", jaro_winkler_column(F.col("x"), F.col("y")))
     for field in ("first_name", "last_name"):
-        s = similar.select(F.col("x").alias(f"a_{field}"), F.col("y").alias(f"b_{field}"), F.col("jw").alias(f"jw_{field}"))
-        pairs = pairs.join(s, [f"a_{field}", f"b_{field}"], "left")
+        a, b = F.col(f"a_{field}"), F.col(f"b_{field}")
+        differ = (a != b) & (a != "") & (b != "")
+        pairs = pairs.withColumns({f"x_{field}": F.when(differ, a), f"y_{field}": F.when(differ, b)})
+    pairs = pairs.withColumns({f"jw_{f}": jaro_winkler_column(F.col(f"x_{f}"), F.col(f"y_{f}")) for f in ("first_name", "last_name")})
     of = lambda side, field: F.col(f"{side}_{field}")
     return pairs.select(
         "*",

@@ -19,6 +19,22 @@ def mint(number: Column) -> Column:
     return F.format_string("PGID%012d", number)
 
 
+CROSSWALK = "record_key string, patient_global_id string, first_seen_run string, last_seen_run string"
+EVENTS = "event_type string, surviving_id string, retired_id string, run_id string, reason string"
+#: Why an identity was created.
+ELSEWHERE, UNKNOWN = "all prior ids already claimed elsewhere this run", "new cluster, no prior crosswalk entry"
+
+
+def next_number(existing: DataFrame, events: DataFrame | None = None) -> int:
+    """The number after all that were given out: to living identities, and to those that events mention."""
+    ids = existing.select("patient_global_id")
+    if events is not None:
+        ids = ids.union(events.select("surviving_id")).union(events.select("retired_id"))
+    number = F.nullif(F.regexp_extract("patient_global_id", "^PGID([0-9]+)$", 1), F.lit("")).cast("long")
+    last = ids.agg(F.max(number).alias("n")).first()["n"]
+    return 0 if last is None else last + 1
+
+
 def crosswalk(members: DataFrame, existing: DataFrame, run_id: str, first_number: int) -> tuple[DataFrame, DataFrame]:
     """Identities of this run's clusters, and the events that changed identities.
 
@@ -47,10 +63,12 @@ def crosswalk(members: DataFrame, existing: DataFrame, run_id: str, first_number
     entries = entries.select("record_key", "patient_global_id", F.coalesce("first_seen_run", F.lit(run_id)).alias("first_seen_run"), F.lit(run_id).alias("last_seen_run"))
     run = F.lit(run_id).alias("run_id")
     nothing = F.lit(None).cast("string").alias("retired_id")
-    created = ids.where("kept is null").select(F.lit("create").alias("event_type"), F.col("patient_global_id").alias("surviving_id"), nothing, run, F.when(F.col("had"), "prior ids claimed elsewhere").otherwise("new cluster").alias("reason"))
-    merged = mine.join(taken, "cluster").where("patient_global_id != kept").select(F.lit("merge").alias("event_type"), F.col("kept").alias("surviving_id"), F.col("patient_global_id").alias("retired_id"), run, F.lit("clusters joined").alias("reason"))
+    created = ids.where("kept is null").select(F.lit("create").alias("event_type"), F.col("patient_global_id").alias("surviving_id"), nothing, run, F.when(F.col("had"), ELSEWHERE).otherwise(UNKNOWN).alias("reason"))
+    joined = mine.groupBy("cluster").agg(F.array_join(F.array_sort(F.collect_set("patient_global_id")), "', '").alias("ids"))
+    unified = F.concat(F.lit("cluster unified existing ids ['"), "ids", F.lit("']"))
+    merged = mine.join(taken, "cluster").join(joined, "cluster").where("patient_global_id != kept").select(F.lit("merge").alias("event_type"), F.col("kept").alias("surviving_id"), F.col("patient_global_id").alias("retired_id"), run, unified.alias("reason"))
     split = held.where("claimant != cluster").select("cluster", F.col("patient_global_id").alias("old")).join(ids.select("cluster", "patient_global_id"), "cluster")
-    split = split.select(F.lit("split").alias("event_type"), F.col("old").alias("surviving_id"), F.col("patient_global_id").alias("retired_id"), run, F.lit("records left the identity").alias("reason"))
+    split = split.select(F.lit("split").alias("event_type"), F.col("old").alias("surviving_id"), F.col("patient_global_id").alias("retired_id"), run, F.concat(F.lit("a subset of "), "old", F.lit("'s former members moved to "), "patient_global_id").alias("reason"))
     return entries, created.unionByName(merged).unionByName(split)
 
 

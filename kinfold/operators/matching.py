@@ -26,6 +26,8 @@ PASSES = {"bp_ssn": ["ssn"], "bp_dob_lname": ["dob", "last_name_phonetic"], "bp_
 MAX_BLOCK = 1000
 UPPER, LOWER = 9.5203, 2.0
 MAX_CLUSTER, MIN_DENSITY = 6, 0.6
+#: Members of a component that are listed.
+MAX_LISTED = 1000
 
 
 def stage(feed: DataFrame, vendor: str) -> DataFrame:
@@ -79,13 +81,13 @@ def _weight(field: str, table: dict[str, float]) -> Column:
     return F.coalesce(F.try_element_at(levels, F.col(field)), F.lit(0.0))
 
 
-def score_pairs(pairs: DataFrame, records: DataFrame, other: DataFrame | None = None) -> DataFrame:
+def score_pairs(pairs: DataFrame, records: DataFrame, other: DataFrame | None = None, weights: dict[str, dict[str, float]] = WEIGHTS) -> DataFrame:
     """Distinct pairs with their levels, the Fellegi-Sunter ``score`` and the ``naive_score``."""
     distinct = pairs.select("record_key_a", "record_key_b").distinct()
     leveled = agreement(with_records(distinct, records, other))
     score, naive = F.lit(0.0), F.lit(0.0)
     for f in FIELDS:
-        score = score + _weight(f, WEIGHTS[f])
+        score = score + _weight(f, weights[f])
         naive = naive + F.lit(NAIVE_FIELD[f]) * _weight(f, NAIVE_LEVEL)
     return leveled.select("record_key_a", "record_key_b", *FIELDS, score.alias("score"), naive.alias("naive_score"))
 
@@ -106,10 +108,17 @@ def deterministic_pairs(records: DataFrame) -> DataFrame:
 
 
 def clusters(edges: DataFrame, max_size: int = MAX_CLUSTER, min_density: float = MIN_DENSITY) -> DataFrame:
-    """Components of distinct edges with size, density (confidence) and the reasons for a flag."""
+    """Components of distinct edges with size, density (confidence) and the reasons for a flag.
+
+    ``members`` are listed up to ``MAX_LISTED`` of them; a larger component, which is flagged in
+    any case, has none, so that no task has to hold it.
+    """
     edges = materialize(edges.select("record_key_a", "record_key_b").distinct(), "edges")
     nodes = materialize(connected_components(edges, "record_key_a", "record_key_b"), "components")
-    sized = nodes.groupBy("component").agg(F.array_sort(F.collect_list("node")).alias("members"), F.count("*").alias("size"))
+    sizes = nodes.groupBy("component").agg(F.count("*").alias("size"))
+    small = nodes.join(sizes.where(F.col("size") <= MAX_LISTED).select("component"), "component", "left_semi")
+    listed = small.groupBy("component").agg(F.array_sort(F.collect_list("node")).alias("members"))
+    sized = sizes.join(listed, "component", "left")
     counted = edges.join(nodes, edges["record_key_a"] == nodes["node"]).groupBy("component").agg(F.count("*").alias("scored_pairs"))
     out = sized.join(counted, "component").withColumn("possible_pairs", (F.col("size") * (F.col("size") - 1) / 2).cast("long"))
     out = out.withColumn("confidence", F.col("scored_pairs") / F.col("possible_pairs"))

@@ -4,63 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.operators import identity, matching
+from kinfold import api
+from kinfold.operators import evaluation, identity, matching, matchpath, serving
 from kinfold.operators.matching import FIELDS
+from kinfold.plans import gates
+from kinfold.plans.state import state
 from kinfold.session import materialize
-from kinfold.sources.feeds import read, vendor_feed
+from kinfold.sources.feeds import vendor_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-06-30"
-VENDORS = {"VENDOR_A": 1, "VENDOR_B": 2, "VENDOR_C": 3}
-FIRST_RUN = 0
+#: Pairs of different persons that the estimate of chance agreement samples.
+NON_MATCHES = 20_000
+#: Scores, levels and both thresholds are compared at four decimals, as the weights have them.
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     return matching.patient_normalized(vendor_feed(spark, sf))
 
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    records = materialize(_records(spark, sf), "records")
-    return matching.score_pairs(matching.candidate_pairs(matching.block_keys(records)), records)
-
-
-def _members(spark: SparkSession, sf: str, keep: str = "true") -> DataFrame:
-    """Cluster members; ``keep`` picks the records of a run."""
-    records = materialize(_records(spark, sf).where(keep), "records")
-    scored = matching.score_pairs(matching.candidate_pairs(matching.block_keys(records)), records)
-    found = matching.clusters(scored.where(F.col("score") >= matching.UPPER))
-    return materialize(matching.membership(records, found), "members")
-
-
-#: Records of the first of two runs: without vendor C's for every third person.
-EARLIER = "not (source_vendor = 'VENDOR_C' and cast(substr(source_record_id, 1, 8) as int) % 3 = 1)"
-
-
-def _runs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    none = spark.createDataFrame([], "record_key string, patient_global_id string, first_seen_run string, last_seen_run string")
-    one, _ = identity.crosswalk(_members(spark, sf, EARLIER), none, "run1", FIRST_RUN)
-    one = materialize(one, "run1")
-    # A hand-made correction between the runs splits some identities and so tests merges and splits.
-    moved = F.when(F.col("record_key").endswith("0") & F.col("record_key").startswith("VENDOR_B"), F.concat(F.lit("PGID9"), F.substring("patient_global_id", 6, 11))).otherwise(F.col("patient_global_id"))
-    one = materialize(one.withColumn("patient_global_id", moved), "corrected")
-    entries, events = identity.crosswalk(_members(spark, sf), one, "run2", 990000000000)
-    return one, entries, events
-
-
-def _lineage(spark: SparkSession, sf: str) -> DataFrame:
-    members = _members(spark, sf).select("record_key", F.col("cluster").alias("patient_global_id"))
-    at = F.create_map(*[F.lit(x) for item in VENDORS.items() for x in item])[F.col("source_vendor")].alias("normalized_at")
-    return identity.survive(_records(spark, sf).select("*", at).join(members, "record_key"))
-
-
 def stg_vendors(spark: SparkSession, sf: str) -> DataFrame:
     feed = vendor_feed(spark, sf)
     return matching.stage(feed, "VENDOR_A").unionByName(matching.stage(feed, "VENDOR_B")).unionByName(matching.stage(feed, "VENDOR_C"))
 
 
+# Blocking.
+
+
 def block_stats(spark: SparkSession, sf: str) -> DataFrame:
     return matching.block_stats(matching.block_keys(_records(spark, sf)), 8)
 
@@ -73,282 +46,270 @@ def candidate_pairs_capped(spark: SparkSession, sf: str) -> DataFrame:
     return matching.candidate_pairs(matching.block_keys(_records(spark, sf)), 4)
 
 
-def _truth(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.true_pairs(vendor_feed(spark, sf).select(F.concat("vendor", F.lit(":"), "record_id").alias("record_key"), "k", "noise"))
+def candidate_pairs_uncapped(spark: SparkSession, sf: str) -> DataFrame:
+    return matching.candidate_pairs(matching.block_keys(_records(spark, sf)), None).select(*evaluation.PAIR).distinct()
 
 
 def blocking_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = materialize(candidate_pairs(spark, sf), "pairs")
-    truth = materialize(_truth(spark, sf), "truth")
-    n = _records(spark, sf).agg(F.count("*").alias("records"))
-    whole = pairs.select("record_key_a", "record_key_b").distinct().select(F.lit("unioned").alias("blocking_pass"), "record_key_a", "record_key_b")
-    every = pairs.select("blocking_pass", "record_key_a", "record_key_b").unionByName(whole)
-    hit = every.join(truth.select("record_key_a", "record_key_b", F.lit(1).alias("true")), ["record_key_a", "record_key_b"], "left")
+    st = state(spark, sf)
+    pairs = materialize(matching.candidate_pairs(matching.block_keys(st.records)), "pairs")
+    n = st.records.agg(F.count("*").alias("records"))
+    whole = pairs.select(*evaluation.PAIR).distinct().select(F.lit("unioned").alias("blocking_pass"), *evaluation.PAIR)
+    every = pairs.select("blocking_pass", *evaluation.PAIR).unionByName(whole)
+    hit = every.join(st.truth.select(*evaluation.PAIR, F.lit(1).alias("true")), evaluation.PAIR, "left")
     per = hit.groupBy("blocking_pass").agg(F.count("*").alias("pairs"), F.count("true").alias("found"))
-    total = truth.agg(F.count("*").alias("truth"))
+    total = st.truth.agg(F.count("*").alias("truth"))
     every_pair = F.col("records") * (F.col("records") - 1) / 2
     return per.crossJoin(F.broadcast(n)).crossJoin(F.broadcast(total)).select("blocking_pass", "pairs", F.round(F.col("found") / F.col("truth"), 6).alias("pair_completeness"), F.round(1 - F.col("pairs") / every_pair, 6).alias("reduction_ratio"))  # one-row tables
 
 
+def block_cap_cost(spark: SparkSession, sf: str) -> DataFrame:
+    """What a cap of 4 records a block costs in true pairs."""
+    st = state(spark, sf)
+    keys = materialize(matching.block_keys(st.records), "keys")
+    all_, some = (evaluation.completeness(matching.candidate_pairs(keys, cap), st.truth) for cap in (None, 4))
+    both = all_.withColumnRenamed("pair_completeness", "u").crossJoin(F.broadcast(some.withColumnRenamed("pair_completeness", "c")))  # one row each
+    return both.select(F.round("u", 6).alias("uncapped_pair_completeness"), F.round("c", 6).alias("capped_pair_completeness"), F.round(F.col("u") - F.col("c"), 6).alias("pair_completeness_cost_of_cap"))
+
+
+def block_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return block_stats(spark, sf).groupBy("blocking_pass").agg(F.count("*").alias("blocks"), F.max("record_count").alias("largest"), F.round(F.avg("record_count"), 6).alias("mean_size"))
+
+
+# Scoring, triage, evaluation.
+
+
 def deterministic_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.deterministic_pairs(_records(spark, sf))
+    return matching.deterministic_pairs(state(spark, sf).records)
+
+
+def deterministic_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.pair_metrics(deterministic_pairs(spark, sf), state(spark, sf).truth)
+
+
+def match_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.pair_metrics(state(spark, sf).matches, state(spark, sf).truth)
 
 
 def recall_by_noise(spark: SparkSession, sf: str) -> DataFrame:
-    got = matching.deterministic_pairs(_records(spark, sf)).select("record_key_a", "record_key_b", F.lit(1).alias("hit"))
-    return _truth(spark, sf).join(got, ["record_key_a", "record_key_b"], "left").groupBy("noise_type").agg(F.count("*").alias("true_pairs"), F.count("hit").alias("found"))
+    got = deterministic_pairs(spark, sf).select(*evaluation.PAIR, F.lit(1).alias("hit"))
+    return state(spark, sf).truth.join(got, evaluation.PAIR, "left").groupBy("noise_type").agg(F.count("*").alias("true_pairs"), F.count("hit").alias("found"))
 
 
 def agreement_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).select("record_key_a", "record_key_b", *FIELDS)
+    return state(spark, sf).scored.select(*evaluation.PAIR, *FIELDS)
 
 
 def pair_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).select("record_key_a", "record_key_b", F.round("score", 4).alias("score"), F.round("naive_score", 4).alias("naive_score"))
+    return state(spark, sf).scored.select(*evaluation.PAIR, F.round("score", 4).alias("score"), F.round("naive_score", 4).alias("naive_score"))
 
 
 def triage_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).groupBy(matching.decide(F.col("score")).alias("decision")).agg(F.count("*").alias("pairs"), F.round(F.avg("score"), 4).alias("mean_score"))
+    per = state(spark, sf).scored.groupBy(matching.decide(F.col("score")).alias("decision")).agg(F.count("*").alias("pairs"), F.round(F.avg("score"), 4).alias("mean_score"))
+    total = per.agg(F.sum("pairs").alias("n"))
+    return per.crossJoin(F.broadcast(total)).select("decision", "pairs", "mean_score", F.round(F.col("pairs") / F.col("n"), 6).alias("share"))  # one-row table
 
 
 def review_queue(spark: SparkSession, sf: str) -> DataFrame:
-    band = _scored(spark, sf).where((F.col("score") >= matching.LOWER) & (F.col("score") < matching.UPPER))
-    return band.select("record_key_a", "record_key_b", F.round("score", 4).alias("score"), F.lit("pending").alias("status"))
+    band = state(spark, sf).scored.where((F.col("score") >= matching.LOWER) & (F.col("score") < matching.UPPER))
+    return band.select(*evaluation.PAIR, F.round("score", 4).alias("score"), F.lit("pending").alias("status"))
+
+
+def review_queue_records(spark: SparkSession, sf: str) -> DataFrame:
+    return api.review_records(review_queue(spark, sf), state(spark, sf).records)
+
+
+def non_match_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.non_match_pairs(state(spark, sf).records, state(spark, sf).truth, NON_MATCHES)
 
 
 def fs_params(spark: SparkSession, sf: str) -> DataFrame:
-    """m and u by Laplace's rule from true and false candidate pairs; weight in bits."""
-    scored = materialize(_scored(spark, sf), "scored")
-    hit = scored.join(_truth(spark, sf).select("record_key_a", "record_key_b", F.lit(1).alias("t")), ["record_key_a", "record_key_b"], "left")
-    tall = hit.select(F.coalesce("t", F.lit(0)).alias("t"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("level")) for f in FIELDS])).alias("x"))
-    counts = tall.groupBy("x.field", "x.level").agg(F.sum("t").alias("m_n"), F.sum(1 - F.col("t")).alias("u_n"))
-    grid = spark.createDataFrame([(f, lv, len(levels)) for f, levels in matching.WEIGHTS.items() for lv in levels], "field string, level string, levels int")
-    totals = hit.agg(F.sum(F.coalesce("t", F.lit(0))).alias("m_all"), F.sum(1 - F.coalesce("t", F.lit(0))).alias("u_all"))
-    full = grid.join(counts, ["field", "level"], "left").crossJoin(F.broadcast(totals))  # totals: one row
-    share = lambda c: (F.coalesce(F.col(f"{c}_n"), F.lit(0)) + 1) / (F.col(f"{c}_all") + F.col("levels"))
-    return full.select("field", "level", F.round(share("m"), 6).alias("m"), F.round(share("u"), 6).alias("u"), F.round(F.log2(share("m") / share("u")), 4).alias("weight"))
+    st = state(spark, sf)
+    others = materialize(non_match_pairs(spark, sf), "others")
+    return evaluation.fs_params(matching.score_pairs(st.truth, st.records), matching.score_pairs(others, st.records))
 
 
 def pr_curve(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _scored(spark, sf).select("record_key_a", "record_key_b", F.round("score", 4).alias("score"))
-    truth = materialize(_truth(spark, sf).select("record_key_a", "record_key_b", F.lit(1).alias("t")), "truth")
-    per = scored.join(truth, ["record_key_a", "record_key_b"], "left").groupBy("score").agg(F.count("t").alias("tp"), F.sum(F.when(F.col("t").isNull(), 1).otherwise(0)).alias("fp"))
-    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)  # distinct scores: at most the product of the fields' levels
-    run = per.select("score", F.sum("tp").over(down).alias("tp"), F.sum("fp").over(down).alias("fp")).crossJoin(F.broadcast(truth.agg(F.count("*").alias("n"))))
-    return run.select("score", "tp", "fp", F.round(F.col("tp") / (F.col("tp") + F.col("fp")), 6).alias("precision"), F.round(F.col("tp") / F.col("n"), 6).alias("recall"))
+    return evaluation.curve(state(spark, sf).scored, state(spark, sf).truth)
+
+
+def pr_curve_naive(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.curve(state(spark, sf).scored, state(spark, sf).truth, "naive_score")
 
 
 def thresholds(spark: SparkSession, sf: str) -> DataFrame:
-    c = pr_curve(spark, sf)
-    f1 = F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
-    got = c.agg(F.coalesce(F.min(F.when(F.col("precision") >= 0.99, F.col("score"))), F.max("score")).alias("upper"), F.coalesce(F.max(F.when(F.col("recall") >= 0.9, F.col("score"))), F.min("score")).alias("low"), F.round(F.max(f1), 6).alias("best_f1"))
-    return got.select("upper", F.least("low", "upper").alias("lower"), "best_f1")
+    return evaluation.thresholds(pr_curve(spark, sf))
+
+
+def scoring_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [evaluation.thresholds(c).withColumn("scorer", F.lit(name)) for name, c in (("fellegi_sunter", pr_curve(spark, sf)), ("naive", pr_curve_naive(spark, sf)))]
+    return parts[0].unionByName(parts[1])
+
+
+def tier_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by which scores of this run differ from those made anew from the feeds: none."""
+    st = state(spark, sf)
+    anew = matching.score_pairs(matching.candidate_pairs(matching.block_keys(_records(spark, sf))), st.records)
+    return evaluation.parity(st.scored.select(*evaluation.PAIR, "score"), anew.select(*evaluation.PAIR, "score"), [*evaluation.PAIR, "score"])
+
+
+# Clusters and identities.
 
 
 def clusters(spark: SparkSession, sf: str) -> DataFrame:
-    found = matching.clusters(_scored(spark, sf).where(F.col("score") >= matching.UPPER))
+    found = state(spark, sf).clusters
     return found.select("component", F.array_join("members", ",").alias("members"), "size", "scored_pairs", "possible_pairs", F.round("confidence", 6).alias("confidence"), "flagged", F.array_join("flag_reasons", ",").alias("flag_reasons"))
 
 
-def cluster_membership(spark: SparkSession, sf: str) -> DataFrame:
-    return _members(spark, sf)
+def run_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Eight counters of the second run."""
+    st = state(spark, sf)
+    event = lambda kind: F.count_if(F.col("event_type") == kind).alias(f"{kind}_events")
+    parts = [
+        st.records.agg(F.count("*").alias("records")), st.scored.agg(F.count("*").alias("scored_pairs"), F.count_if(F.col("score") >= matching.UPPER).alias("auto_matches"), F.count_if((F.col("score") >= matching.LOWER) & (F.col("score") < matching.UPPER)).alias("review_pairs")),
+        st.entries.agg(F.countDistinct("patient_global_id").alias("identities")), st.events.agg(event("create"), event("merge"), event("split")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.crossJoin(F.broadcast(part))  # one row each
+    return out
 
 
-def crosswalk_run2(spark: SparkSession, sf: str) -> DataFrame:
-    return _runs(spark, sf)[1]
+def records_by_vendor(spark: SparkSession, sf: str) -> DataFrame:
+    return _records(spark, sf).groupBy("source_vendor").agg(F.count("*").alias("records"))
 
 
-def identity_events_run2(spark: SparkSession, sf: str) -> DataFrame:
-    return _runs(spark, sf)[2]
+def snapshot_scd2(spark: SparkSession, sf: str) -> DataFrame:
+    checked = ["first_name", "last_name", "gender"]
+    now = state(spark, sf).golden.select("patient_global_id", *checked)
+    before = now.where("not endswith(patient_global_id, '7')").withColumn("last_name", F.when(F.col("patient_global_id").endswith("3"), F.lit("FORMER")).otherwise(F.col("last_name")))
+    history = before.select("*", F.lit("2024-01-01").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
+    return identity.snapshot(history, now, "patient_global_id", checked, AS_OF)
 
 
-def field_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    return identity.masked(_lineage(spark, sf))
+# Files that are matched.
 
 
-def golden_records(spark: SparkSession, sf: str) -> DataFrame:
-    return identity.demographics(_lineage(spark, sf))
+def _person_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return matchpath.block_keys(state(spark, sf).persons, state(spark, sf).records)
 
 
-def membership_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _members(spark, sf).groupBy(F.col("cluster").alias("patient_global_id")).agg(F.count("*").alias("source_record_count"))
+def matchpath_block_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return matchpath.block_stats(_person_keys(spark, sf), 8)
 
 
-def records_by_vendor(spark: SparkSession, sf: str) -> DataFrame:
-    return _records(spark, sf).groupBy("source_vendor").agg(F.count("*").alias("records"))
+def patients_with_matchpath(spark: SparkSession, sf: str) -> DataFrame:
+    columns = ["record_key", *FIELDS]
+    return state(spark, sf).records.select(*columns).unionByName(state(spark, sf).persons.select(*columns))
 
 
-def block_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return block_stats(spark, sf).groupBy("blocking_pass").agg(F.count("*").alias("blocks"), F.max("record_count").alias("largest"), F.round(F.avg("record_count"), 6).alias("mean_size"))
+def matchpath_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    st = state(spark, sf)
+    core = vendor_feed(spark, sf).select(F.concat("vendor", F.lit(":"), "record_id").alias("record_key"), "k")
+    truth = core.unionByName(st.persons.select("record_key", F.col("source_record_id").cast("long").alias("k")))
+    return matchpath.metrics(st.matched[0], st.persons, truth)
 
 
-def medical_claims(spark: SparkSession, sf: str) -> DataFrame:
-    """Claims derived from orders: each belongs to a vendor's member."""
-    o = read(spark, sf, "orders")
-    vendor = F.when(F.col("o_custkey") % 3 == 1, "VENDOR_B").otherwise("VENDOR_A")
-    return o.select(vendor.alias("source_vendor"), F.col("o_orderkey").alias("source_claim_id"), F.concat(vendor, F.lit(":"), F.col("o_orderkey").cast("string")).alias("claim_key"), F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("member_id"), F.col("o_orderdate").cast("date").alias("claim_date"), F.round("o_totalprice", 2).alias("billed_amount"))
+def resolve_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """All persons of both files as new records: the identity of the best automatic match, or a new one."""
+    st = state(spark, sf)
+    return api.resolve(st.persons, st.records, st.entries, st.events)
 
 
-def fct_medical_claims(spark: SparkSession, sf: str) -> DataFrame:
-    alt = _members(spark, sf).select(F.substring_index("record_key", ":", 1).alias("source_vendor"), F.substring_index("record_key", ":", -1).alias("member_id"), F.col("cluster").alias("patient_global_id"))
-    return medical_claims(spark, sf).join(alt, ["source_vendor", "member_id"]).select("patient_global_id", "claim_key", "claim_date", "billed_amount")
+# Serving.
 
 
-def pharmacy_claims(spark: SparkSession, sf: str) -> DataFrame:
-    """Fills derived from line items, through an id map from the dispenser's member numbers."""
-    li, o = read(spark, sf, "lineitem"), read(spark, sf, "orders")
-    days = (F.col("l_quantity").cast("int") % 3 + 1) * 30
-    fills = li.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return fills.select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("source_rx_id"), F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("pbm_member_id"), F.col("l_shipdate").cast("date").alias("fill_date"), days.alias("days_supply"))
+def fact_conservation(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each domain before and after it is joined to identities, and the members it reaches."""
+    st, out = state(spark, sf), None
+    for name in ("medical_history", "medical_claims", "pharmacy_claims"):
+        before = st.normalized[name].agg(F.count("*").alias("conformance_rows"))
+        after = st.facts[name].agg(F.count("*").alias("fact_rows"), F.countDistinct("patient_global_id").alias("distinct_members"))
+        row = before.crossJoin(F.broadcast(after)).withColumn("domain", F.lit(name))  # one row each
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def member_360(spark: SparkSession, sf: str) -> DataFrame:
-    """One row an identity: golden values, sources, and each domain's count and latest date."""
-    members = _members(spark, sf)
-    golden = golden_records(spark, sf)
-    sources = members.groupBy(F.col("cluster").alias("patient_global_id")).agg(F.count("*").alias("source_record_count"), F.array_join(F.array_sort(F.collect_set("record_key")), ",").alias("alternate_identifiers"))
-    alt = members.select(F.substring_index("record_key", ":", 1).alias("source_vendor"), F.substring_index("record_key", ":", -1).alias("member_id"), F.col("cluster").alias("patient_global_id"))
-    claims = medical_claims(spark, sf).join(alt, ["source_vendor", "member_id"]).groupBy("patient_global_id").agg(F.count("*").alias("claims"), F.max("claim_date").alias("last_claim"))
-    home = F.when(F.substring("pbm_member_id", 2, 20).cast("long") % 3 == 1, "VENDOR_B").otherwise("VENDOR_A")
-    fills = pharmacy_claims(spark, sf).withColumn("source_vendor", home).withColumn("member_id", F.lpad(F.substring("pbm_member_id", 2, 20), 8, "0")).join(alt, ["source_vendor", "member_id"])
-    active = F.date_add("fill_date", F.col("days_supply")) >= F.lit(AS_OF).cast("date")
-    rx = fills.groupBy("patient_global_id").agg(F.count("*").alias("fills"), F.max("fill_date").alias("last_fill"), F.count_if(active).alias("active_fills"))
-    out = golden.join(sources, "patient_global_id").join(claims, "patient_global_id", "left").join(rx, "patient_global_id", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return out.select(*golden.columns, "source_record_count", "alternate_identifiers", zero("claims"), "last_claim", zero("fills"), "last_fill", zero("active_fills"))
-
-
-def lab_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Results derived from events, numbered within a record."""
-    e = read(spark, sf, "events").select(F.lpad(F.col("user_id").cast("string"), 8, "0").alias("source_record_id"), F.col("ts").cast("date").cast("string").alias("test_date"), F.col("event_type").alias("test_code"), F.round("value", 4).cast("double").alias("result_value"), "event_id")
-    n = F.row_number().over(Window.partitionBy("source_record_id").orderBy("test_date", "test_code", "event_id"))
-    return e.select(F.concat_ws(":", "source_record_id", n.cast("string")).alias("lab_result_key"), "source_record_id", "test_date", "test_code", "result_value")
-
-
-def matchpath_resolution(spark: SparkSession, sf: str) -> DataFrame:
-    """Members of a file without shared ids matched to the core: the best automatic match of each."""
-    records = materialize(_records(spark, sf), "records")
-    mine = records.where("source_vendor = 'VENDOR_C'").withColumn("ssn", F.lit(None).cast("string")).withColumn("record_key", F.concat(F.lit("PHARMACY:"), F.col("source_record_id")))
-    core = records.where("source_vendor != 'VENDOR_C'")
-    passes = {k: v for k, v in matching.PASSES.items() if k != "bp_ssn"}
-    core_keys = matching.block_keys(core, passes)
-    small = matching.block_stats(core_keys).where("not is_oversized").select("blocking_pass", "block_key")
-    pairs = matching.block_keys(mine, passes).withColumnRenamed("record_key", "record_key_a").join(core_keys.join(small, ["blocking_pass", "block_key"], "left_semi").withColumnRenamed("record_key", "record_key_b"), ["blocking_pass", "block_key"])
-    scored = matching.score_pairs(pairs, mine, core)
-    best = scored.withColumn("rank", F.row_number().over(Window.partitionBy("record_key_a").orderBy(F.desc(F.round("score", 4)), "record_key_b"))).where("rank = 1")
-    return best.select(F.col("record_key_a").alias("record_key"), F.col("record_key_b").alias("candidate"), F.round("score", 4).alias("match_score"), matching.decide(F.col("score")).alias("decision"))
+    st = state(spark, sf)
+    return serving.member_360(st.golden, st.entries, st.lineage, st.facts, AS_OF)
 
 
 def agg_dedup_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    per = membership_counts(spark, sf)
-    return per.agg(F.sum("source_record_count").alias("source_records"), F.count("*").alias("golden_records"), F.max("source_record_count").alias("largest_cluster"), F.round(F.avg("source_record_count"), 6).alias("mean_cluster"), F.round(F.lit(1.0) - F.count("*") / F.nullif(F.sum("source_record_count"), F.lit(0)), 6).alias("dedup_rate"))
+    st = state(spark, sf)
+    return serving.dedup_metrics(st.records, st.golden, st.membership, st.events)
+
+
+def _dim(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.dim_member(state(spark, sf).golden, state(spark, sf).membership)
 
 
 def top_members(spark: SparkSession, sf: str) -> DataFrame:
-    return membership_counts(spark, sf).orderBy(F.desc("source_record_count"), "patient_global_id").limit(200)
+    return state(spark, sf).membership.orderBy(F.desc("source_record_count"), "patient_global_id").limit(200)
+
+
+def member_search(spark: SparkSession, sf: str) -> DataFrame:
+    return api.search_members(_dim(spark, sf), "son")
+
+
+def _one(spark: SparkSession, sf: str) -> str:
+    """The member with the most records."""
+    return top_members(spark, sf).first()["patient_global_id"]
 
 
 def member_claims_page(spark: SparkSession, sf: str) -> DataFrame:
-    return fct_medical_claims(spark, sf).orderBy("claim_key").offset(40).limit(20)
+    return state(spark, sf).facts["medical_claims"].orderBy("claim_key").offset(40).limit(20)
 
 
-def snapshot_scd2(spark: SparkSession, sf: str) -> DataFrame:
-    checked = ["first_name", "last_name", "gender"]
-    now = materialize(golden_records(spark, sf).select("patient_global_id", *checked), "golden")
-    before = now.where("not endswith(patient_global_id, '7')").withColumn("last_name", F.when(F.col("patient_global_id").endswith("3"), F.lit("FORMER")).otherwise(F.col("last_name")))
-    history = before.select("*", F.lit("2024-01-01").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
-    return identity.snapshot(history, now, "patient_global_id", checked, AS_OF)
+def member_page(spark: SparkSession, sf: str) -> DataFrame:
+    return api.member_page(state(spark, sf).facts, "pharmacy_claims", _one(spark, sf), 20, 5)
+
+
+def member_summary(spark: SparkSession, sf: str) -> DataFrame:
+    st = state(spark, sf)
+    return api.member_summary(st.golden, st.facts, _one(spark, sf))
+
+
+def eligibility(spark: SparkSession, sf: str) -> DataFrame:
+    return api.eligibility(state(spark, sf).alternate, state(spark, sf).records, _one(spark, sf))
+
+
+# Quality.
 
 
 def quality_checks(spark: SparkSession, sf: str) -> DataFrame:
-    """One row a check; a warning does not stop a run."""
-    records = materialize(_records(spark, sf), "records")
-    stats = matching.block_stats(matching.block_keys(records)).agg(F.round(F.max("record_count") / F.sum("record_count"), 6).alias("value"))
-    rate = agg_dedup_metrics(spark, sf)
-    triage = triage_decisions(spark, sf).agg(F.round(F.coalesce(F.sum(F.when(F.col("decision") == "review", F.col("pairs"))), F.lit(0)) / F.sum("pairs"), 6).alias("value"))
-    rows = [
-        ("dedup_rate", rate.select(F.col("dedup_rate").alias("value")), "value between 0 and 0.9"),
-        ("review_queue_rate", triage, "value <= 0.5"),
-        ("block_skew", stats, "value <= 0.05"),
-        ("dob_plausibility", records.agg(F.count_if((F.col("dob_year") < 1900) | (F.col("dob_year") > 2024)).cast("double").alias("value")), "value = 0"),
-        ("cluster_size", rate.select(F.col("largest_cluster").cast("double").alias("value")), "value <= 10"),
-    ]
-    parts = [df.select(F.lit(name).alias("check_name"), F.when(F.expr(ok), "pass").otherwise("warn").alias("status"), F.col("value").cast("double").alias("value")) for name, df, ok in rows]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return gates.quality_checks(state(spark, sf))
 
 
 def structural_gates(spark: SparkSession, sf: str) -> DataFrame:
-    """Violations of the structure; every count must be 0."""
-    records = materialize(_records(spark, sf), "records")
-    pairs = candidate_pairs(spark, sf)
-    members = _members(spark, sf)
-    gates = {
-        "record_key_not_null": records.where("record_key is null"),
-        "record_key_unique": records.groupBy("record_key").count().where("count > 1"),
-        "gender_accepted": records.where("gender not in ('M', 'F', 'U')"),
-        "pairs_ordered": pairs.where("record_key_a >= record_key_b"),
-        "crosswalk_complete": records.join(members, "record_key", "left_anti"),
-    }
-    out = None
-    for name, bad in gates.items():
-        row = bad.agg(F.count("*").alias("violations")).select(F.lit(name).alias("gate"), "violations")
-        out = row if out is None else out.unionByName(row)
-    return out
+    return gates.count_violations(gates.structural(state(spark, sf)))
 
 
-def resolve_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """New records (vendor C's) against the core: the identity of the best automatic match, or a new one."""
-    first = "source_vendor != 'VENDOR_C'"
-    core = materialize(_records(spark, sf).where(first), "core")
-    none = spark.createDataFrame([], "record_key string, patient_global_id string, first_seen_run string, last_seen_run string")
-    known = materialize(identity.crosswalk(_members(spark, sf, first), none, "run1", FIRST_RUN)[0], "known")
-    batch = _records(spark, sf).where(f"not ({first})").withColumn("record_key", F.concat(F.lit("PHARMACY:"), F.col("source_record_id")))
-    return resolve(materialize(batch, "batch"), core, known)
-
-
-def resolve(batch: DataFrame, core: DataFrame, known: DataFrame) -> DataFrame:
-    """``(record_key, outcome, patient_global_id, match_score)``: one row for every record of ``batch``.
-
-    Candidates are the core records that share any of the four blocking keys, however many.
-    The best automatic match (of equal scores the smallest key) gives its identity in the
-    crosswalk ``known``; a record without one, also one without candidates (whose
-    ``match_score`` is null), gets an id of its own after the last of ``known``.
-    """
-    # Records equal in all that is compared share candidates and scores: one of each stands for them.
-    profile = F.to_json(F.struct(*FIELDS)).alias("profile")
-    mine, theirs = [materialize(r.groupBy(profile).agg(F.min("record_key").alias("rep")), "profiles") for r in (batch, core)]
-    news, olds = [materialize(r.join(p, r["record_key"] == p["rep"], "left_semi"), "reps") for r, p in ((batch, mine), (core, theirs))]
-    keys, core_keys = materialize(matching.block_keys(news), "keys"), materialize(matching.block_keys(olds), "keys")
-    # A block of many core records is dealt to parts; each of the batch's records goes to all of its block's parts.
-    on = ["blocking_pass", "block_key"]
-    parts = matching.block_stats(core_keys).select(*on, F.ceil(F.col("record_count") / matching.MAX_BLOCK).alias("parts"))
-    there = core_keys.join(parts, on).select(*on, F.col("record_key").alias("record_key_b"), F.pmod(F.xxhash64("record_key"), F.col("parts")).alias("part"))
-    here = keys.join(parts, on).select(*on, F.col("record_key").alias("record_key_a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    scored = matching.score_pairs(here.join(there, [*on, "part"]), news, olds)
-    best = scored.groupBy("record_key_a").agg(F.min(F.struct((-F.round("score", 4)).alias("less"), F.col("record_key_b").alias("candidate"), F.col("score"))).alias("best"))
-    found = mine.join(best, mine["rep"] == best["record_key_a"]).select("profile", "best.candidate", "best.score")
-    every = batch.select("record_key", profile).join(found, "profile", "left")
-    matched = matching.decide(F.col("score")) == "auto_match"
-    every = materialize(every.select("record_key", F.round("score", 4).alias("match_score"), F.when(matched, F.col("candidate")).alias("match")), "matches")
-    last = known.agg(F.max(F.substring("patient_global_id", 5, 20).cast("long")).alias("n")).first()["n"]
-    new = every.where("match is null").select("record_key", F.col("record_key").alias("cluster"))
-    minted = identity.crosswalk(new, known.limit(0), "batch", FIRST_RUN if last is None else last + 1)[0]
-    created = every.where("match is null").join(minted, "record_key").select("record_key", F.lit("created").alias("outcome"), "patient_global_id", "match_score")
-    ids = known.select(F.col("record_key").alias("match"), "patient_global_id")
-    return every.join(ids, "match").select("record_key", F.lit("matched").alias("outcome"), "patient_global_id", "match_score").unionByName(created)
+def _of(name: str) -> Query:
+    return lambda spark, sf: getattr(state(spark, sf), name)
+
+
+def _normalized(name: str) -> Query:
+    return lambda spark, sf: state(spark, sf).normalized[name]
+
+
+def _fact(name: str) -> Query:
+    return lambda spark, sf: state(spark, sf).facts[name]
 
 
 QUERIES: dict[str, Query] = {
-    "stg_vendors": stg_vendors, "patient_normalized": _records, "block_keys": lambda s, d: matching.block_keys(_records(s, d)), "block_stats": block_stats,
-    "candidate_pairs": candidate_pairs, "candidate_pairs_capped": candidate_pairs_capped, "blocking_metrics": blocking_metrics, "deterministic_pairs": deterministic_pairs,
-    "true_pairs_by_noise": _truth, "recall_by_noise": recall_by_noise, "agreement_vectors": agreement_vectors, "pair_scores": pair_scores, "triage_decisions": triage_decisions,
-    "review_queue": review_queue, "fs_params": fs_params, "pr_curve": pr_curve, "thresholds": thresholds, "clusters": clusters, "cluster_membership": cluster_membership,
-    "crosswalk_run2": crosswalk_run2, "identity_events_run2": identity_events_run2, "field_lineage": field_lineage, "golden_records": golden_records, "membership": membership_counts,
-    "records_by_vendor": records_by_vendor, "block_summary": block_summary, "medical_claims_normalized": medical_claims, "pharmacy_claims_normalized": pharmacy_claims,
-    "lab_results_normalized": lab_results, "fct_medical_claims": fct_medical_claims, "matchpath_resolution": matchpath_resolution, "member_360": member_360,
-    "agg_dedup_metrics": agg_dedup_metrics, "top_members": top_members, "member_claims_page": member_claims_page, "snapshot_scd2": snapshot_scd2, "quality_checks": quality_checks,
-    "structural_gates": structural_gates, "resolve_batch": resolve_batch,
+    "stg_vendors": stg_vendors, "patient_normalized": _records, "block_keys": lambda s, d: matching.block_keys(_records(s, d)), "block_stats": block_stats, "block_summary": block_summary,
+    "candidate_pairs": candidate_pairs, "candidate_pairs_capped": candidate_pairs_capped, "candidate_pairs_uncapped": candidate_pairs_uncapped, "blocking_metrics": blocking_metrics, "block_cap_cost": block_cap_cost,
+    "deterministic_pairs": deterministic_pairs, "deterministic_metrics": deterministic_metrics, "true_pairs_by_noise": _of("truth"), "recall_by_noise": recall_by_noise,
+    "agreement_vectors": agreement_vectors, "pair_scores": pair_scores, "match_metrics": match_metrics, "triage_decisions": triage_decisions, "review_queue": review_queue, "review_queue_records": review_queue_records,
+    "non_match_pairs": non_match_pairs, "fs_params": fs_params, "pr_curve": pr_curve, "pr_curve_naive": pr_curve_naive, "thresholds": thresholds, "scoring_comparison": scoring_comparison, "tier_parity": tier_parity,
+    "clusters": clusters, "cluster_membership": _of("members"), "crosswalk_run2": _of("entries"), "identity_events_run2": _of("events"), "run_summary": run_summary,
+    "field_lineage": lambda s, d: identity.masked(state(s, d).lineage), "golden_records": _of("golden"), "membership": _of("membership"), "alternate_identifiers": _of("alternate"), "dim_member": _dim, "records_by_vendor": records_by_vendor,
+    "medical_history_normalized": _normalized("medical_history"), "medical_claims_normalized": _normalized("medical_claims"), "pharmacy_claims_normalized": _normalized("pharmacy_claims"), "vendor_id_map_normalized": _normalized("vendor_id_map"),
+    "pharmacy_info_normalized": _normalized("pharmacy_info"), "lab_identity_normalized": _normalized("lab_identity"), "lab_results_normalized": _normalized("lab_results"), "patients_with_matchpath": patients_with_matchpath,
+    "matchpath_block_keys": _person_keys, "matchpath_block_stats": matchpath_block_stats, "matchpath_candidate_pairs": lambda s, d: matchpath.candidate_pairs(_person_keys(s, d)),
+    "matchpath_resolution": lambda s, d: state(s, d).matched[0], "matchpath_review_queue": lambda s, d: state(s, d).matched[1], "matchpath_metrics": matchpath_metrics, "resolve_batch": resolve_batch,
+    "fct_medical_history": _fact("medical_history"), "fct_medical_claims": _fact("medical_claims"), "fct_pharmacy_claims": _fact("pharmacy_claims"), "fct_pharmacy_info": _fact("pharmacy_info"), "fct_lab_results": _fact("lab_results"),
+    "fact_conservation": fact_conservation, "member_360": member_360, "agg_dedup_metrics": agg_dedup_metrics, "top_members": top_members, "member_search": member_search, "member_claims_page": member_claims_page,
+    "member_page": member_page, "member_summary": member_summary, "eligibility": eligibility, "snapshot_scd2": snapshot_scd2, "quality_checks": quality_checks, "structural_gates": structural_gates,
 }
