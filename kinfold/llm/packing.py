@@ -33,7 +33,7 @@ from kinfold.session import materialize
 
 CAPACITY = 2048
 #: Distinct chunks, and parts of chunks, that a worker's tokenizer cache keeps.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 
 class ChunkEncoder:
@@ -112,9 +112,11 @@ def encoder(tokenizer_path: str) -> ChunkEncoder:
     return ChunkEncoder(tokenizer_path)
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0, numbered: bool = False) -> DataFrame:
     """Pieces ``(id_col, piece, start, length, ids)`` of every text.
 
+    With ``numbered`` they have ``_part`` and ``_nth`` too, as ``numbered`` adds them; they hold once the pieces are written.
+
     ``ids`` holds little-endian unsigned 32-bit token ids. Each document ends with
     ``end_id``; a null or empty text is that id alone. Only documents longer than
     ``capacity`` are cut, into pieces of ``capacity`` ids; the last may be shorter.
@@ -125,11 +127,14 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     width = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         encode = encoder(tokenizer_path).encode
+        task, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows, piece, start, length, ids = [], [], [], [], []
+                rows, piece, start, length, ids, nth = [], [], [], [], [], []
                 for row, data in enumerate(encode([t or "" for t in part.column(1).to_pylist()])):
                     data += end
                     for k, begin in enumerate(range(0, len(data), width)):
@@ -139,12 +144,15 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
                         start.append(begin // 4)
                         length.append(len(cut) // 4)
                         ids.append(cut)
+                        nth.append(seen.get(length[-1], 0))
+                        seen[length[-1]] = nth[-1] + 1
+                extra = [pa.array([task] * len(nth), pa.int32()), pa.array(nth, pa.int64())] if numbered else []
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
-                    names=[id_col, "piece", "start", "length", "ids"],
+                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), *extra],
+                    names=[id_col, "piece", "start", "length", "ids", *(["_part", "_nth"] if numbered else [])],
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(pieces, f"`{id_col}` {id_type}, piece int, start long, length long, ids binary")
+    return docs.select(id_col, text_col).mapInArrow(pieces, f"`{id_col}` {id_type}, piece int, start long, length long, ids binary" + ", _part int, _nth long" * numbered)
 
 
 def _configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 1000) -> list[tuple[list[int], float]]:
@@ -373,9 +381,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     as they occur. The tokens are made once: they are written to the shared folder (only
     their checksum, unless ``with_ids``).
     """
-    pieces = tokenize(docs, tokenizer_path, id_col, text_col, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
-    kept = [id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    return place_pieces(numbered(pieces.select(*kept)), capacity)
+    pieces = tokenize(docs, tokenizer_path, id_col, text_col, capacity, end_id, numbered=True).withColumn("ids_crc32", F.crc32("ids"))
+    kept = [id_col, "piece", "start", "length", "ids_crc32", "_part", "_nth"] + ["ids"] * with_ids
+    return place_pieces(materialize(pieces.select(*kept), "pieces"), capacity)
 
 
 def default_tokenizer() -> str:
