@@ -8,8 +8,9 @@ image header alone, by a range read of its first bytes; features from a range re
 whole member.
 
 Scale: payloads are never shuffled. Each task writes its own shards, a payload once; the
-index then has one member a digest, so that all rows with equal payloads share it (members
-that other tasks wrote of it are not referred to). A shard is written by one task under a name of
+index then has one member a digest, so that all rows with equal payloads share it. Members
+that other tasks wrote of it are not referred to: ``compact`` writes shards of which they are
+more than ``DEAD`` anew without them, and removes the old ones. A shard is written by one task under a name of
 its own attempt; only shards named in the index that was written count, so lost or
 repeated tasks do no harm. Shards live in the shared folder and are reached by
 ``pyarrow.fs``, never by local paths.
@@ -36,6 +37,8 @@ from kinfold.session import fresh_path, materialize
 WIDTH = 64
 LEVEL = 6
 SHARD_BYTES = 256 << 20
+#: Share of a shard's bytes that no row refers to, from which it is written anew.
+DEAD = 0.25
 #: Bytes of a PNG image up to the end of its header chunk.
 HEADER = 33
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -91,47 +94,107 @@ def feature(data: bytes) -> str:
     return f"rows={len(data) // WIDTH};mean={counts @ np.arange(256) / len(data):.4f};entropy={-(share * np.log2(share)).sum():.4f};distinct={len(share)}"
 
 
+class _Writer:
+    """Tar shards of one task, under names of its own."""
+
+    def __init__(self, folder: str, shard_bytes: int):
+        self.fs, self.root = pyarrow.fs.FileSystem.from_uri(folder)
+        self.fs.create_dir(self.root, recursive=True)
+        self.limit, self.out, self.shard, self.at = shard_bytes, None, "", 0
+
+    def add(self, digest: str, image: bytes) -> tuple[str, str, int, int]:
+        """Append a member: ``(digest, shard, offset, length)``."""
+        if self.out is None:
+            self.shard, self.at = f"{uuid.uuid4().hex}.tar", 0
+            self.out = self.fs.open_output_stream(f"{self.root}/{self.shard}")
+        info = tarfile.TarInfo(f"{digest}.png")
+        info.size = len(image)
+        head = info.tobuf(tarfile.USTAR_FORMAT)
+        self.out.write(head + image + bytes(-len(image) % 512))
+        row = (digest, self.shard, self.at + len(head), len(image))
+        self.at += len(head) + len(image) + -len(image) % 512
+        if self.at >= self.limit:
+            self.close()
+        return row
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.write(bytes(1024))
+            self.out.close()
+            self.out = None
+
+
+_MEMBERS = "digest string, shard string, offset long, length long"
+
+
+def _members(rows: list[tuple[str, str, int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["digest", "shard", "offset", "length"])
+
+
 def store(payloads: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Write the distinct ``payload`` values to shards in ``folder``: ``(digest, shard, offset, length)``."""
+    """Write the distinct ``payload`` values to shards in ``folder``: ``(digest, shard, offset, length)``.
+
+    Payloads are not null. Repeated ones are one member. An empty table writes no shard.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pyarrow.fs.FileSystem.from_uri(folder)
-        fs.create_dir(root, recursive=True)
-        shard, out, at = "", None, 0
+        out = _Writer(folder, shard_bytes)
         seen: set[bytes] = set()
         try:
             for batch in batches:
                 for start in range(0, batch.num_rows, 512):
-                    rows: list[tuple[str, str, int, int]] = []
+                    rows = []
                     for data in batch.column(0).slice(start, 512).to_pylist():
                         key = hashlib.sha256(data).digest()
-                        if key in seen:
-                            continue
-                        seen.add(key)
-                        image = encode_png(data)
-                        if out is None:
-                            shard, at = f"{uuid.uuid4().hex}.tar", 0
-                            out = fs.open_output_stream(f"{root}/{shard}")
-                        info = tarfile.TarInfo(f"{key.hex()}.png")
-                        info.size = len(image)
-                        head = info.tobuf(tarfile.USTAR_FORMAT)
-                        out.write(head + image + bytes(-len(image) % 512))
-                        rows.append((key.hex(), shard, at + len(head), len(image)))
-                        at += len(head) + len(image) + -len(image) % 512
-                        if at >= shard_bytes:
-                            out.write(bytes(1024))
-                            out.close()
-                            out = None
-                    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], names=["digest", "shard", "offset", "length"])
+                        if key not in seen:
+                            seen.add(key)
+                            rows.append(out.add(key.hex(), encode_png(data)))
+                    yield _members(rows)
         finally:
-            if out is not None:
-                out.write(bytes(1024))
-                out.close()
+            out.close()
 
-    members = materialize(payloads.select("payload").mapInArrow(write, "digest string, shard string, offset long, length long"), "members")
+    members = materialize(payloads.select("payload").mapInArrow(write, _MEMBERS), "members")
     place = F.min(F.struct("shard", "offset", "length")).alias("at")
-    return materialize(members.groupBy("digest").agg(place).select("digest", "at.*").sortWithinPartitions("shard", "offset"), "index")
+    index = materialize(members.groupBy("digest").agg(place).select("digest", "at.*").sortWithinPartitions("shard", "offset"), "index")
+    return compact(index, members, folder, shard_bytes)
+
+
+def compact(index: DataFrame, members: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, dead: float = DEAD) -> DataFrame:
+    """``index`` after shards that hold too much else are written anew.
+
+    ``members`` has all that the shards hold. The old shards are removed once the new index
+    is written; a task that is repeated finds them gone, which is what it wants.
+    """
+    whole = members.groupBy("shard").agg(F.sum("length").alias("all"))
+    live = index.groupBy("shard").agg(F.sum("length").alias("live"))
+    old = whole.join(live, "shard", "left").where(F.coalesce("live", F.lit(0)) < (1 - dead) * F.col("all")).select("shard")
+    old = materialize(old, "old")
+    if old.isEmpty():
+        return index
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards, out = _Shards(folder), _Writer(folder, shard_bytes)
+        try:
+            for batch in batches:
+                yield _members([out.add(d, shards.read(s, o, n)) for d, s, o, n in zip(*[c.to_pylist() for c in batch.columns], strict=True)])
+        finally:
+            out.close()
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pyarrow.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                if fs.get_file_info(f"{root}/{shard}").type == pyarrow.fs.FileType.File:
+                    fs.delete_file(f"{root}/{shard}")
+            yield batch
+
+    moved = index.join(old, "shard", "left_semi").select("digest", "shard", "offset", "length").repartition("shard").sortWithinPartitions("shard", "offset")
+    moved = materialize(moved.mapInArrow(copy, _MEMBERS), "moved")
+    fresh = materialize(index.join(old, "shard", "left_anti").select(*moved.columns).unionByName(moved).sortWithinPartitions("shard", "offset"), "index")
+    old.mapInArrow(remove, "shard string").count()
+    return fresh
 
 
 class _Shards:
@@ -148,7 +211,10 @@ class _Shards:
 
 
 def probe(index: DataFrame, folder: str) -> DataFrame:
-    """Add ``width, height, bit_depth, color_type`` to an index, reading ``HEADER`` bytes a member."""
+    """Add ``width, height, bit_depth, color_type`` to an index, reading ``HEADER`` bytes a member.
+
+    A member that is no PNG image is an error; an empty index gives an empty table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(folder)
@@ -183,9 +249,9 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null texts count as empty; an empty text is a payload of 64 zeros. Equal texts share one
     member and get equal values. Repeated rows give repeated rows; an empty table stores
-    nothing. ``folder`` is a new folder in the shared one unless given.
+    nothing. ``folder`` is a new folder in the shared one unless given; it stays.
     """
-    folder = folder or fresh_path(docs.sparkSession, "media")
+    folder = folder or fresh_path(docs.sparkSession, "media", keep=True)  # rows point to it
     text = F.col(text_col)
     index = store(docs.select(payload(text).alias("payload")), folder)
     known = materialize(probe(index, folder).join(features(index, folder), "digest"), "members")
@@ -196,4 +262,4 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = media_columns(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth")
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth", "digest", "shard", "offset", "length")
