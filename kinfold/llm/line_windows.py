@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.tables import free, table
-from kinfold.session import materialize
+from kinfold.session import materialize, release
 
 WIDTH = 3
 #: Words from which a covered stretch is removed even if it holds no ``width`` whole lines.
@@ -42,9 +42,20 @@ BROADCAST_KEYS = 2_000_000
 
 def lines_of(text: Column) -> Column:
     """The lines of a text with what ends them: joined, they are the text again."""
+    return F.split(_marked(text), MARK)
+
+
+def _marked(text: Column) -> Column:
     for end in LINE_ENDS:
         text = F.replace(text, F.lit(end), F.lit(end + MARK))
-    return F.split(text, MARK)
+    return text
+
+
+def count_lines(text: Column) -> Column:
+    """How many ``lines_of`` there are, without making them."""
+    marked = _marked(text)
+    marks = F.octet_length(marked) - F.octet_length(F.replace(marked, F.lit(MARK), F.lit("")))
+    return (marks / len(MARK.encode()) + 1).cast("int")
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
@@ -52,12 +63,10 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_t1"), F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(7), text_col)).otherwise(0).alias("_t2")]
 
 
-def _windows(lines: Column, width: int, *salts: int) -> Column:
-    """An array with a struct for each window, holding a hash of it for each of ``salts``."""
-    bare = lambda x: F.trim(x, F.lit(" \n"))
-    hashes = F.transform(lines, lambda x: F.struct(*[F.xxhash64(F.lit(k), bare(x)).alias(f"h{k}") for k in salts]))
-    of = lambda h, i, k: F.xxhash64(*[F.get(h, i + n)[f"h{k}"] for n in range(width)]).alias(f"h{k}")
-    return _bind(hashes, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.struct(*[of(h, i, k) for k in salts])))
+def _windows(hashes: Column, width: int, *parts: str) -> Column:
+    """An array with a struct for each window, of hashes of its lines' hashes."""
+    of = lambda i, h: F.xxhash64(*[F.get(hashes, i + n)[h] for n in range(width)]).alias(h)
+    return F.transform(F.sequence(F.lit(0), F.size(hashes) - width), lambda i: F.struct(*[of(i, h) for h in parts]))
 
 
 def repeated_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -65,13 +74,17 @@ def repeated_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``starts`` is a set of 0-based line numbers, no longer than the document.
     """
+    bare = lambda x: F.trim(x, F.lit(" \n"))
+    hashes = F.transform("_lines", lambda x: F.struct(F.xxhash64(bare(x)).alias("a"), F.xxhash64(F.lit(11), bare(x)).alias("b"))).alias("_h")
     once = docs.select(*_key(id_col, text_col), lines_of(F.col(text_col)).alias("_lines")).where(F.size("_lines") >= width)
+    once = materialize(once.select("_id", "_t1", "_t2", hashes), "lines")  # texts are taken apart once
     # Half of the hash, counted, rules out most windows; the others are compared by the whole hash.
-    counted = once.select(F.explode(_windows(F.col("_lines"), width, 1)).alias("_w")).groupBy(F.col("_w.h1").alias("_half")).agg(F.count("*").alias("_n"))
+    counted = once.select(F.explode(_windows(F.col("_h"), width, "a")).alias("_w")).groupBy(F.col("_w.a").alias("_half")).agg(F.count("*").alias("_n"))
     often = materialize(counted.where("_n > 1").select("_half"), "often")
     often = F.broadcast(often) if often.count() <= BROADCAST_KEYS else often.hint("merge")
-    windows = once.select("_id", "_t1", "_t2", F.posexplode(_windows(F.col("_lines"), width, 1, 2)).alias("_at", "_w")).select("_id", "_t1", "_t2", "_at", F.col("_w.h1").alias("_a"), F.col("_w.h2").alias("_b"))
+    windows = once.select("_id", "_t1", "_t2", F.posexplode(_windows(F.col("_h"), width, "a", "b")).alias("_at", "_w")).select("_id", "_t1", "_t2", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
     windows = materialize(windows.join(often, F.col("_a") == F.col("_half")).drop("_half"), "windows")
+    release(once)
     place = F.struct(F.col("_id").isNotNull().alias("known"), "_id", "_t1", "_t2", "_at")
     first = windows.groupBy("_a", "_b").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
     first = materialize(first.drop("_last"), "first").hint("merge")  # a table of its own: a hot window's rows can be split
@@ -134,7 +147,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return _bind(gone, left)
 
     text, none = F.col(text_col), F.lit(0)
-    done = F.when(F.col(own).isNotNull(), _bind(lines_of(text), cut)).otherwise(F.struct(F.lit(None).cast("string").alias("text"), F.size(lines_of(text)).alias("n"), none.alias("gone")))
+    done = F.when(F.col(own).isNotNull(), _bind(lines_of(text), cut)).otherwise(F.struct(F.lit(None).cast("string").alias("text"), count_lines(text).alias("n"), none.alias("gone")))
     result = joined.withColumn(own, done)
     return result.select(
         *[F.coalesce(F.col(own)["text"], text).alias(c) if c == text_col else F.col(c) for c in kept_names],
