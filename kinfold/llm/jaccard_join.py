@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.tables import free, table
+from kinfold.llm.tables import arrow_batches, free, table
 from kinfold.operators.components import connected_components
 from kinfold.session import materialize, release
 
@@ -60,15 +60,17 @@ BUCKET_BYTES = 32 << 20
 #: Most tasks that buckets are dealt to; a task takes its buckets one after the other.
 MOST_TASKS = 20_000
 #: Shingles a task holds before it deals them out, packed by bucket.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Most documents whose ids are broadcast to pick their texts for verification.
 BROADCAST_ROWS = 400_000
 #: Longs of the small parity sketch that index rows of sets with costly shingles carry.
 SKETCH = 8
 #: Sets of more shingles have no sketch: it would show too few of their differences.
 SKETCHED = 1000
+#: Most rows and bytes of an Arrow batch: pairs carry both whole sets.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 #: Bytes of text hashed at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 5
 _MASK = (1 << 64) - 1
 
@@ -87,7 +89,7 @@ def _byte_values() -> np.ndarray:
     return values
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)):
@@ -108,6 +110,33 @@ def _slices(sizes: list[int]) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of the bytes starts, and its hash, which does not depend on the place.
+
+    Bytes are taken ``SLICE`` at a time, up to a word's end, so memory is bounded by that and the longest word.
+    """
+    starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        end = at + SLICE
+        while end < len(data):  # to the next gap, however long the word is
+            some = data[end : end + 4096]
+            gaps = np.flatnonzero((some == 32) | ((some >= 9) & (some <= 13)))
+            if len(gaps):
+                end += int(gaps[0])
+                break
+            end += len(some)
+        part = data[at:end]
+        gap = (part == 32) | ((part >= 9) & (part <= 13))
+        power, inverse = _powers(1 << max(SLICE.bit_length(), (len(part) - 1).bit_length()))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values()[part] * power[: len(part)], dtype=np.uint64)])
+        edge = np.diff(np.concatenate([[1], gap.astype(np.int8), [1]]).astype(np.int8))
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        hashes.append(_mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
+        starts.append(first + at)
+        at = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each UTF-8 text.
 
@@ -117,16 +146,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     for part in _slices([len(t) for t in texts]):
         mine = texts[part]
-        data = np.frombuffer(b" ".join([*mine, b""]), np.uint8)
-        if not len(data):
-            out += [np.zeros(0, np.uint64)] * len(mine)
-            continue
-        gap = (data == 32) | ((data >= 9) & (data <= 13))
-        power, inverse = _powers(1 << max(20, (len(data) - 1).bit_length()))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values()[data] * power[: len(data)], dtype=np.uint64)])
-        edge = np.diff(np.concatenate([[1], gap.astype(np.int8)]))
-        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        word = _mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+        first, word = _words(np.frombuffer(b" ".join([*mine, b""]), np.uint8))
         borders = np.cumsum([len(t) + 1 for t in mine])
         starts = np.searchsorted(first, np.concatenate([[0], borders]))
         chain = np.zeros(max(0, len(word) - words + 1), np.uint64)
@@ -279,7 +299,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, salt:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = shingle_sets(_texts(part.column(1)))
-                held += [s[: prefix_length(len(s))] for s in sets if len(s)]
+                held += [s[: prefix_length(len(s))].copy() for s in sets if len(s)]  # not a view, which holds the set
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(_node(sets, salt)), pa.array(_node(sets, -1 - salt)), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=names)
                 if sum(map(len, held)) >= FLUSH:
@@ -318,7 +338,7 @@ def _lengthened(docs: DataFrame, text_col: str, costly, buckets: int) -> DataFra
                     need = prefix_length(len(s))
                     dear = int(costly.value.among(s[:need]).sum())
                     if dear:
-                        held.append(s[: need * need * 5 // (4 * (need - dear)) + 16] if dear < need else s)
+                        held.append(s[: need * need * 5 // (4 * (need - dear)) + 16].copy() if dear < need else s)
                 if sum(map(len, held)) >= FLUSH:
                     yield flush()
         if held:
@@ -467,6 +487,12 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     like any others and are never the smallest, so a group of null ids only has a null
     component. An empty table gives an empty table.
     """
+    with arrow_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        return _groups(docs, id_col, text_col)
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """All that runs Python runs here; what is returned reads tables it has written."""
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,3 +18,17 @@ def free(name: str, taken: Iterable[str]) -> str:
     while (name := f"_{name}").lower() in used:
         continue
     return name
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows and bytes (a larger row is one of its own) for what runs within."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {k: spark.conf.get(k) for k in bounds}
+    try:
+        for k, v in bounds.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

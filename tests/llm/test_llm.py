@@ -220,6 +220,15 @@ def test_sketches_never_show_more_than_the_difference(size):
     assert jaccard_join.sketch(np.arange(jaccard_join.SKETCHED + 1, dtype=np.uint64)) is None
 
 
+def test_shingles_do_not_depend_on_the_slices(monkeypatch):
+    texts = [b"", b" \t\n", b"one", b"A b\x0bC d e f", b"x" * 5000 + b" a b c d e", b"w1 w2 w3 " * 900, b"y" * 70 + b"  z " * 40]
+    whole = jaccard_join.shingle_sets(texts)
+    assert [len(s) for s in whole[:4]] == [0, 0, 1, 2]
+    for size in (1, 64, 999):
+        monkeypatch.setattr(jaccard_join, "SLICE", size)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, jaccard_join.shingle_sets(texts), strict=True))
+
+
 def test_jaccard_against_brute_force(spark):
     rng = random.Random(8)
     base = [[rng.choice(WORDS) + str(rng.randint(0, 40)) for _ in range(rng.randint(3, 120))] for _ in range(50)]
