@@ -21,7 +21,7 @@ def quality_checks(st: State, as_of_year: int = 2024) -> DataFrame:
     blocks = matching.block_stats(matching.block_keys(st.records)).agg(F.round(F.max("record_count") / F.sum("record_count"), 6).alias("value"))
     rate = st.membership.agg(F.round(F.coalesce(1 - F.count("*") / F.nullif(F.sum("source_record_count"), F.lit(0)), F.lit(0.0)), 6).alias("value"))
     review = (F.col("score") >= matching.LOWER) & (F.col("score") < matching.UPPER)
-    queue = st.scored.agg(F.round(F.coalesce(F.count_if(review) / F.nullif(F.count("*"), F.lit(0)), F.lit(0.0)), 6).alias("value"))
+    queue = st.levels.agg(F.round(F.coalesce(F.sum(F.when(review, F.col("pairs")).otherwise(0)) / F.nullif(F.sum("pairs"), F.lit(0)), F.lit(0.0)), 6).alias("value"))
     born = st.records.agg(F.count_if((F.col("dob_year") < 1900) | (F.col("dob_year") > as_of_year)).cast("double").alias("value"))
     rows = [
         ("dedup_rate", rate, "value between 0 and 0.9"), ("review_queue_rate", queue, "value <= 0.5"), ("block_skew", blocks, "value <= 0.05"), ("dob_plausibility", born, "value = 0"),
