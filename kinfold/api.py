@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions.clean import clean_name, digits, phonetic_key, standard_gender
-from kinfold.operators import identity, matching
+from kinfold.operators import blocks, identity
 from kinfold.operators.matching import FIELDS
 from kinfold.session import materialize
 
@@ -39,18 +39,11 @@ def resolve(batch: DataFrame, core: DataFrame, known: DataFrame, events: DataFra
     profile = F.to_json(F.struct(*FIELDS)).alias("profile")
     mine, theirs = [materialize(r.groupBy(profile).agg(F.min("record_key").alias("rep")), "profiles") for r in (batch, core)]
     news, olds = [materialize(r.join(p, r["record_key"] == p["rep"], "left_semi"), "reps") for r, p in ((batch, mine), (core, theirs))]
-    keys, core_keys = materialize(matching.block_keys(news), "keys"), materialize(matching.block_keys(olds), "keys")
-    # A block of many core records is dealt to parts; each of the batch's records goes to all of its block's parts.
-    on = ["blocking_pass", "block_key"]
-    parts = matching.block_stats(core_keys).select(*on, F.ceil(F.col("record_count") / matching.MAX_BLOCK).alias("parts"))
-    there = core_keys.join(parts, on).select(*on, F.col("record_key").alias("record_key_b"), F.pmod(F.xxhash64("record_key"), F.col("parts")).alias("part"))
-    here = keys.join(parts, on).select(*on, F.col("record_key").alias("record_key_a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    scored = matching.score_pairs(here.join(there, [*on, "part"]), news, olds)
-    best = scored.groupBy("record_key_a").agg(F.min(F.struct((-F.round("score", 4)).alias("less"), F.col("record_key_b").alias("candidate"), F.col("score"))).alias("best"))
-    found = mine.join(best, mine["rep"] == best["record_key_a"]).select("profile", "best.candidate", "best.score")
+    pairs = blocks.Blocks(blocks.rows(blocks.numbered(news)), blocks.rows(blocks.numbered(olds)))
+    best = pairs.best(best=F.lit(True))
+    found = mine.join(best, mine["rep"] == best["record_key_a"]).select("profile", "best.*")
     every = batch.select("record_key", profile).join(found, "profile", "left")
-    matched = matching.decide(F.col("score")) == "auto_match"
-    every = every.select("record_key", F.round("score", 4).alias("match_score"), F.when(matched, F.col("candidate")).alias("match"))
+    every = every.select("record_key", F.col("score").alias("match_score"), F.when(F.col("auto"), F.col("record_key_b")).alias("match"))
     ids = known.select(F.col("record_key").alias("match"), "patient_global_id")
     every = materialize(every.join(ids, "match", "left").drop("match"), "matches")
     new = every.where("patient_global_id is null").drop("patient_global_id")
