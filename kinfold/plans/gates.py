@@ -49,27 +49,36 @@ def _same_count(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.where("a != b")
 
 
+def _in_blocks(rows: DataFrame, passes: dict[str, list[str]], wanted: DataFrame) -> DataFrame:
+    """The ids of rows that take part in one of some blocks."""
+    each = rows.select("id", F.explode(F.array(*[F.struct(F.lit(p).alias("blocking_pass"), F.col(p).alias("block_key")) for p in passes])).alias("x")).select("id", "x.*")
+    return each.join(wanted, ["blocking_pass", "block_key"], "left_semi").select("id").distinct()
+
+
 def structural(st: State) -> dict[str, DataFrame]:
     """By gate, the rows that violate it."""
     n, f, keys = st.normalized, st.facts, matching.block_keys(st.records)
-    pairs = matching.candidate_pairs(keys)
-    sizes = matching.block_stats(keys).where("is_oversized")
-    both = matchpath.block_keys(st.persons, st.records)
-    matched = matchpath.candidate_pairs(both)
     on = ["blocking_pass", "block_key"]
-    small = matchpath.block_stats(both).where("not is_oversized").select(*on)
-    mine, theirs = (both.where(F.col("side") == side).select(*on, F.col("record_key").alias(f"record_key_{x}")) for side, x in (("matchpath", "a"), ("core", "b")))
-    allowed = mine.join(small, on, "left_semi").join(theirs, on).select("record_key_a", "record_key_b")
+    # Pairs are streamed. One comes twice only if a record has two keys in a pass: only blocks with such records are looked into.
+    pairs = st.blocks.pairs()
+    twice = keys.join(_unique(keys, "record_key", "blocking_pass").select("record_key", "blocking_pass"), ["record_key", "blocking_pass"], "left_semi")
+    doubtful = matching.candidate_pairs(keys.join(twice.select(*on).distinct(), on, "left_semi"))
+    sizes = matching.block_stats(keys).where("is_oversized")
     resolution, review = st.matched
-    person = st.persons.select(F.col("record_key").alias("record_key_a"))
-    core = st.records.select(F.col("record_key").alias("record_key_b"))
+    # Of the rows that make pairs those that should make none, and their pairs.
+    within, people = st.blocks, st.person_blocks
+    forbidden = within.left.join(_in_blocks(within.left, matching.PASSES, sizes), "id", "left_semi")
+    strangers = people.left.join(st.persons.select("record_key"), "record_key", "left_anti")
+    outsiders = people.right.join(st.records.select("record_key"), "record_key", "left_anti")
+    crowded = people.right.join(_in_blocks(people.right, matchpath.PASSES, sizes), "id", "left_semi")
+    pair = ["record_key_a", "record_key_b"]
     missing = lambda df, *columns: df.where(" or ".join(f"{c} is null" for c in columns))
     outside = lambda df, column, values: df.where(~F.col(column).isin(*values))
     orphan = lambda df: df.join(st.golden, "patient_global_id", "left_anti")
     return {
         "record_key_not_null": missing(st.records, "record_key"), "record_key_unique": _unique(st.records, "record_key"), "gender_accepted": outside(st.records, "gender", ("M", "F", "U")),
         "block_pass_accepted": outside(keys, "blocking_pass", tuple(matching.PASSES)), "block_key_not_null": missing(keys, "record_key", "blocking_pass", "block_key"), "block_stats_unique": _unique(matching.block_stats(keys), "blocking_pass", "block_key"),
-        "pairs_ordered": pairs.where("record_key_a >= record_key_b"), "pairs_unique": _unique(pairs, "record_key_a", "record_key_b", "blocking_pass"), "no_pairs_from_oversized_blocks": pairs.join(sizes, ["blocking_pass", "block_key"], "left_semi"),
+        "pairs_ordered": pairs.where("record_key_a >= record_key_b"), "pairs_unique": _unique(doubtful, "record_key_a", "record_key_b", "blocking_pass"), "no_pairs_from_oversized_blocks": within.pairs(left=forbidden, right=forbidden).select(*pair),
         "crosswalk_complete": st.records.join(st.entries, "record_key", "left_anti"), "crosswalk_unique": _unique(st.entries, "record_key"), "crosswalk_not_null": missing(st.entries, "patient_global_id", "first_seen_run", "last_seen_run"),
         "event_type_accepted": outside(st.events, "event_type", ("create", "merge", "split")), "golden_unique": _unique(st.golden, "patient_global_id"), "lineage_five_fields": st.lineage.groupBy("patient_global_id").count().where("count != 5"),
         "lineage_identity_known": orphan(st.lineage), "membership_unique": _unique(st.membership, "patient_global_id"), "membership_identity_known": orphan(st.membership), "alternate_identifiers_conserved": _same_count(st.records, st.alternate),
@@ -79,8 +88,8 @@ def structural(st: State) -> dict[str, DataFrame]:
         "lab_result_key_unique": _unique(n["lab_results"], "lab_result_key"), "abnormal_flag_accepted": outside(n["lab_results"], "abnormal_flag", ("normal", "high", "low", "critical")),
         "medical_history_conserved": _same_count(n["medical_history"], f["medical_history"]), "medical_claims_conserved": _same_count(n["medical_claims"], f["medical_claims"]), "pharmacy_claims_conserved": _same_count(n["pharmacy_claims"], f["pharmacy_claims"]),
         "pharmacy_info_no_fanout": _unique(f["pharmacy_info"], "source_record_id"), "lab_results_no_fanout": _unique(f["lab_results"], "lab_result_key"),
-        "matchpath_sides_not_swapped": matched.join(person, "record_key_a", "left_anti").unionByName(matched.join(core, "record_key_b", "left_anti")),
-        "no_matchpath_pairs_from_oversized_blocks": matched.join(allowed, ["record_key_a", "record_key_b"], "left_anti"),
+        "matchpath_sides_not_swapped": people.pairs(left=strangers).select(*pair).unionByName(people.pairs(right=outsiders).select(*pair)),
+        "no_matchpath_pairs_from_oversized_blocks": people.pairs(right=crowded).select(*pair),
         "resolution_unique": _unique(resolution, "record_key"), "resolution_domain_accepted": outside(resolution, "domain", tuple(MATCHED)), "resolution_identity_known": orphan(resolution), "review_not_resolved": review.join(resolution, "record_key", "left_semi"),
         "fact_identity_known": orphan(f["medical_claims"].select("patient_global_id")),
     }

@@ -45,6 +45,6 @@ def _stored(spark, name, labels):
     return [path for _, path in session._written[before:] if any(f"kinfold-{label}-" in path for label in labels)]
 
 
-@pytest.mark.parametrize("name", ["pair_scores", "agreement_vectors", "pr_curve", "pr_curve_naive", "blocking_metrics", "match_metrics", "thresholds", "scoring_comparison", "tier_parity", "matchpath_metrics", "fct_medical_claims", "fct_pharmacy_claims", "fact_conservation", "member_claims_page", "member_page", "resolve_batch"])
+@pytest.mark.parametrize("name", ["pair_scores", "agreement_vectors", "pr_curve", "pr_curve_naive", "blocking_metrics", "match_metrics", "thresholds", "scoring_comparison", "tier_parity", "matchpath_metrics", "fct_medical_claims", "fct_pharmacy_claims", "fact_conservation", "member_claims_page", "member_page", "resolve_batch", "structural_gates"])
 def test_candidates_are_not_stored(spark, name):
     assert _stored(spark, name, ["scored", "pairs", "matchpath"]) == []
