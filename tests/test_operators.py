@@ -43,6 +43,15 @@ def test_crosswalk_cases(spark):
     assert events == [("create", "PGID000000000010", None), ("split", "P1", "PGID000000000010")]
 
 
+def test_plans_of_a_crosswalk_hold_each_step_once(spark):
+    m = spark.createDataFrame([("A", "A"), ("B", "A"), ("C", "C"), ("D", "D")], "record_key string, cluster string")
+    e = spark.createDataFrame([("A", "P1", "run0", "run0"), ("B", "P2", "run0", "run0"), ("C", "P2", "run0", "run0")], identity.CROSSWALK)
+    entries, events = identity.crosswalk(m, e, "run1", 10)
+    moves = [df._jdf.queryExecution().executedPlan().toString().count("Exchange ") for df in (entries, events)]
+    assert max(moves) <= 12
+    assert sorted((r.event_type, r.surviving_id, r.retired_id) for r in events.collect()) == [("create", "PGID000000000010", None), ("create", "PGID000000000011", None), ("merge", "P1", "P2"), ("split", "P2", "PGID000000000010")] and entries.count() == 4
+
+
 def test_survivorship_rules(spark):
     rows = [
         ("1", "VENDOR_B:1", "VENDOR_B", 2, "ANN", "LEE", "1980-01-01", "1", "F"), ("1", "VENDOR_A:1", "VENDOR_A", 1, "ANNA", None, "1980-01-02", None, "F"),
