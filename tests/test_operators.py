@@ -1,6 +1,8 @@
 import random
 
-from kinfold.operators import identity, matching
+import pytest
+
+from kinfold.operators import evaluation, identity, matching
 from kinfold.operators.components import connected_components
 
 
@@ -73,3 +75,18 @@ def test_snapshot_closes_and_opens(spark):
     now = spark.createDataFrame([("1", "A"), ("2", "C"), ("3", "D")], "id string, v string")
     got = sorted(tuple(map(str, r)) for r in identity.snapshot(history, now, "id", ["v"], "t1").collect())
     assert got == [("1", "A", "t0", "None"), ("2", "B", "t0", "t1"), ("2", "C", "t1", "None"), ("3", "D", "t1", "None")]
+
+
+def test_thresholds_of_two_scorers_in_the_plan_of_one(spark):
+    levels = spark.createDataFrame([(1.0, 0.2, 5), (2.0, 0.9, 3), (3.0, 0.9, 2), (-1.00004, 0.1, 7)], "score double, naive_score double, pairs long")
+    hits = spark.createDataFrame([(2.0, 0.9, 2), (3.0, 0.9, 2), (1.0, 0.2, 1)], "score double, naive_score double, tp long")
+    truth = spark.createDataFrame([(i,) for i in range(6)], "k int")
+    scorers = {"one": "score", "two": "naive_score"}
+    got = evaluation.thresholds_of_counts(levels, hits, truth, scorers)
+    one = evaluation.thresholds(evaluation.curve_of_counts(levels, hits, truth))
+    exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange ") for df in (got, one)]
+    assert exchanges[0] <= exchanges[1]
+    want = [tuple(evaluation.thresholds(evaluation.curve_of_counts(levels, hits, truth, c)).first()) + (n,) for n, c in scorers.items()]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    with pytest.raises(Exception, match="empty curve"):
+        evaluation.thresholds_of_counts(levels.limit(0), hits.limit(0), truth, scorers).collect()
