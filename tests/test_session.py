@@ -26,3 +26,15 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster)
+
+
+@pytest.mark.parametrize(("total", "calls"), [(400, 1), (300, 0)])
+def test_a_driver_whose_heap_has_grown_is_tidied(total, calls):
+    class Heap:
+        totalMemory, maxMemory = staticmethod(lambda: total), staticmethod(lambda: 750)
+
+    called = []
+    lang = type("lang", (), {"Runtime": type("Runtime", (), {"getRuntime": Heap}), "System": type("System", (), {"gc": lambda: called.append(1)})})
+    spark = type("Spark", (), {"sparkContext": type("Context", (), {"_jvm": type("JVM", (), {"java": type("java", (), {"lang": lang})})})})
+    session.tidy(spark)
+    assert len(called) == calls
