@@ -1,12 +1,13 @@
 """Streamed pairs against pairs made one by one, and what queries over them write."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from kinfold import session
-from kinfold.operators import blocks, matching
+from kinfold.operators import blocks, evaluation, matching
 from kinfold.operators.components import connected_components, thinned
 from kinfold.plans.queries import QUERIES
 
@@ -48,3 +49,29 @@ def _stored(spark, name, labels):
 @pytest.mark.parametrize("name", ["pair_scores", "agreement_vectors", "pr_curve", "pr_curve_naive", "blocking_metrics", "match_metrics", "thresholds", "scoring_comparison", "tier_parity", "matchpath_metrics", "fct_medical_claims", "fct_pharmacy_claims", "fact_conservation", "member_claims_page", "member_page", "resolve_batch", "structural_gates"])
 def test_candidates_are_not_stored(spark, name):
     assert _stored(spark, name, ["scored", "pairs", "matchpath"]) == []
+
+
+def test_tier_parity_plans_one_pass_at_a_time(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    store = spark._jsparkSession.sharedState().statusStore()
+    began = store.executionsCount()
+    try:
+        assert QUERIES["tier_parity"](spark, FOLDER).collect() == []
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(began, store.executionsList().size())]
+    joins = [len(re.findall(r"^Left keys \[\d+\]: \[a_bp_", plan, re.MULTILINE)) for plan in plans]
+    assert max(joins) == 1 and sum(joins) == 2 * len(matching.PASSES)
+
+
+def test_parity_of_pieces_finds_a_difference_in_any(spark):
+    piece = lambda *rows: spark.createDataFrame(rows, "record_key_a string, record_key_b string, score double")
+    left = [piece(("A", "B", 1.0), ("A", "B", 1.0)), piece(("C", "D", 2.0))]
+    columns = ["record_key_a", "record_key_b", "score"]
+    same = [piece(("C", "D", 2.0), ("A", "B", 1.0)), piece(("A", "B", 1.0))]
+    assert evaluation.parity_in_parts(left, same, columns).collect() == []
+    other = [piece(("A", "B", 1.0)), piece(("C", "D", 2.5))]
+    got = sorted(map(tuple, evaluation.parity_in_parts(left, other, columns).collect()))
+    assert got == [("A", "B", "1.0", "left"), ("C", "D", "2.0", "left"), ("C", "D", "2.5", "right")]
